@@ -41,7 +41,7 @@ def short_id(*parts: Column | str) -> Column:
 
 def clean_text(c: Column | str) -> Column:
     """Collapse every run of Unicode white space to one space and trim."""
-    return F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def first_years_match(c: Column | str) -> Column:
