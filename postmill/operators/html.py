@@ -18,6 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions import text as X
+from postmill.functions import urls as U
+from postmill.session import run_on_workers
+
+run_on_workers(__name__)
 
 # ---- fixed values: selectors per field, in order of preference ----
 SELECTORS = {
@@ -426,3 +430,11 @@ def page_headings(pages: DataFrame) -> DataFrame:
     heading = X.blank_to_null(F.trim(F.regexp_extract("html", r"<h1[^>]*>([^<]*)</h1>", 1)))
     title = X.blank_to_null(F.trim(F.regexp_extract("html", r"<title[^>]*>([^<]*)</title>", 1)))
     return pages.select("page_id", heading.alias("heading"), title.alias("title"))
+
+
+def page_urls(pagination: DataFrame, max_pages: int) -> DataFrame:
+    """URLs of result pages 2..min(max_pages, total_pages) for rows with base_url, total_pages."""
+    last = F.least(F.lit(max_pages).cast("bigint"), F.col("total_pages"))
+    numbers = F.when(last >= 2, F.sequence(F.lit(2).cast("bigint"), last))
+    rows = pagination.select("*", F.explode(numbers).alias("page_no"))
+    return rows.withColumn("url", U.page_url("base_url", "page_no"))

@@ -120,8 +120,8 @@ def with_violations(rows: DataFrame, strict_remote_scope: bool = False) -> DataF
 
 
 def violation_counts(rows: DataFrame, strict_remote_scope: bool = False) -> DataFrame:
-    checked = with_violations(rows, strict_remote_scope).select(F.explode("violations").alias("constraint"))
-    return checked.groupBy("constraint").agg(F.count("*").alias("n"))
+    checked = with_violations(rows, strict_remote_scope).select(F.explode("violations").alias("rule"))
+    return checked.groupBy("rule").agg(F.count("*").alias("n"))
 
 
 def duplicate_keys(rows: DataFrame, keys: list[str] = NATURAL_KEY) -> DataFrame:

@@ -69,19 +69,21 @@ def upsert_table(
     now: Column,
     order: list | None = None,
     n_buckets: int = 64,
+    order_only: tuple[str, ...] = (),
 ) -> None:
     """Upsert a batch into a Parquet table partitioned by source and key bucket.
 
     Only the partitions the batch touches are read and rewritten. The merged rows are first
     written to a staging folder, then put in place by a dynamic partition overwrite: a job
-    that fails in between can be run again.
+    that fails in between can be run again. ``order_only`` names batch columns that only
+    serve the order and are no part of the table.
     """
     parts = ["ats_source", "bucket"]
     rows = batch.withColumn("bucket", bucket_of(n_buckets))
     try:
         current = spark.read.parquet(path)
     except AnalysisException:
-        current = spark.createDataFrame([], rows.drop(*[c for c in rows.columns if c.startswith("_")]).schema)
+        current = spark.createDataFrame([], rows.drop(*order_only).schema)
     # at most sources x n_buckets pairs, whatever the size of the batch
     touched = rows.select(*parts).distinct().collect()
     if not touched:

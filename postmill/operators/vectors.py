@@ -16,6 +16,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from postmill.session import run_on_workers
+
+run_on_workers(__name__)
 
 
 MAX_QUERY_VALUES = 4_000_000  # values of the query matrix sent to every task (32 MB)

@@ -181,7 +181,7 @@ apply_map AS (SELECT job_id, apply_url FROM (SELECT job_id, item->>'$.applyMetho
     "apply_url_map",
     "B19 D6",
     ["discoveries"],
-    APPLY_MAP.replace("FROM discoveries WHERE", "FROM discoveries WHERE").replace("SELECT crawl_id, seq, body FROM", "SELECT crawl_id, seq, url, body FROM")
+    APPLY_MAP.replace("SELECT crawl_id, seq, body FROM", "SELECT crawl_id, seq, url, body FROM")
     + " SELECT job_id, apply_url FROM apply_map",
 )
 def url_map(i):
@@ -332,8 +332,8 @@ def candidate_urls(i):
     "discovered_companies",
     "C17 E7 E8 I32 A17",
     None,
-    f"""SELECT company, 'https://careers.' || company || '.com' AS source_url, '72.' || s_suppkey AS company_id,
-    CASE s_suppkey % 3 WHEN 0 THEN 404 WHEN 1 THEN 200 ELSE 503 END = 200 AS api_accessible FROM (SELECT *, {SEED} AS company FROM supplier) WHERE s_suppkey % 4 < 3""",
+    f"""SELECT * FROM (SELECT company, 'https://careers.' || company || '.com' AS source_url, CASE WHEN s_suppkey % 4 < 3 THEN '72.' || s_suppkey END AS company_id,
+    CASE s_suppkey % 3 WHEN 0 THEN 404 WHEN 1 THEN 200 ELSE 503 END = 200 AS api_accessible FROM (SELECT *, {SEED} AS company FROM supplier)) WHERE company_id IS NOT NULL""",
 )
 def discovered_companies(i):
     seeds = _seeds(i)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # Runtime settings the jobs rely on. All are Spark defaults or size-checked by
@@ -49,3 +51,8 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="run-postmill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def run_on_workers(module: str) -> None:
+    """Send the functions of a module with each task, so executors need no installed package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

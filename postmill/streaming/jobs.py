@@ -87,13 +87,19 @@ def stream_block_latch(captures: DataFrame, path: str, latches: str, checkpoint:
 
 
 def stream_upsert(
-    rows: DataFrame, path: str, checkpoint: str, order: list | None = None, now: Column | None = None, n_buckets: int = 64
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    order: list | None = None,
+    now: Column | None = None,
+    n_buckets: int = 64,
+    order_only: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Upsert each micro-batch into the published table; replaying a batch changes nothing."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         at = now if now is not None else F.current_timestamp()
-        upsert_table(batch.sparkSession, path, batch, at, order, n_buckets)
+        upsert_table(batch.sparkSession, path, batch, at, order, n_buckets, order_only)
 
     return (
         rows.writeStream.foreachBatch(step)
