@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postmill.functions.classify import has_any
 from postmill.functions.text import blank_to_null, col, is_filled, join_filled
 
 # ---- fixed values ----
@@ -21,7 +22,7 @@ def work_location_type(c: Column | str) -> Column:
     return (
         F.when(low.contains("remote"), "remote")
         .when(low.contains("hybrid"), "hybrid")
-        .when(low.rlike("office|on-site|onsite"), "on-site")
+        .when(has_any(low, ["office", "on-site", "onsite"]), "on-site")
         .otherwise("not_specified")
     )
 
@@ -38,7 +39,7 @@ def remote_scope(c: Column | str) -> Column:
     low = F.lower(col(c))
     return F.when(
         low.contains("remote"),
-        F.when(low.rlike("anywhere|global"), "anywhere")
+        F.when(has_any(low, ["anywhere", "global"]), "anywhere")
         .when(low.contains("same country"), "same_country")
         .when(low.contains("same timezone"), "same_timezone")
         .otherwise("anywhere"),

@@ -44,10 +44,17 @@ def clean_text(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(col(c), F.lit("")), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
+def years_of(low: Column) -> Column:
+    """First number before "year(s)" in a lowercase text; the word is sought first, as most
+    texts lack it and a regex over them is slow.
+    """
+    digits = F.when(low.contains("year"), F.regexp_extract(low, YEARS_PATTERN, 1))
+    return blank_to_null(digits).try_cast("int")
+
+
 def first_years_match(c: Column | str) -> Column:
     """First number written before "year(s)"; in "3-5 years" that is 5."""
-    digits = F.regexp_extract(F.lower(col(c)), YEARS_PATTERN, 1)
-    return blank_to_null(digits).try_cast("int")
+    return years_of(F.lower(col(c)))
 
 
 def join_filled(separator: str, *parts: Column | str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postmill.functions.classify import has_any
 from postmill.functions.text import blank_to_null, col
 
 # ---- fixed values: registrable domain -> provider ----
@@ -201,7 +202,7 @@ def block_reason(status: Column | str, url: Column | str) -> Column:
 
 def looks_blocked(url: Column | str) -> Column:
     """Loose block test: any of the words anywhere in the URL."""
-    return F.lower(col(url)).rlike("|".join(BLOCK_WORDS))
+    return has_any(F.lower(col(url)), BLOCK_WORDS)
 
 
 def company_id_in_html(html: Column | str) -> Column:

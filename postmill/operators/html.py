@@ -1,7 +1,7 @@
 """Job cards, pagination and search forms in HTML pages.
 
 The one place where Python touches rows: HTML has no JVM-side reader. An Arrow
-pandas UDF gets only the page text, parses it once and returns everything a page
+UDF gets only the page text, parses it once and returns everything a page
 yields; all rules on the extracted values are column expressions again.
 """
 
@@ -10,12 +10,15 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import defaultdict
+from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from postmill.functions import text as X
 from postmill.functions import urls as U
@@ -122,7 +125,7 @@ PAGE_TYPE = (
     "search_url string, search_method string, search_fields array<string>, "
     "usage array<struct<category:string,selector:string,n_matches:bigint>>"
 )
-CARD_TYPE = "array<struct<title:string,location:string,href:string>>"
+CARD_TYPE = "cards array<struct<title:string,location:string,href:string>>"
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _PART = re.compile(r"""([A-Za-z][\w-]*)|\.([\w-]+)|\[([\w-]+)(?:(\*?=)["']?([^"'\]]*)["']?)?\]""")
@@ -197,19 +200,20 @@ class Page(HTMLParser):
 
     def select(self, selector: str, within: _Node | None = None) -> list[_Node]:
         """Matches in document order; ``within`` limits them to its descendants."""
-        lo, hi = (within.first + 1, within.last) if within else (0, len(self.nodes))
-        found = set()
-        for alternative in _compile(selector):
-            kind, name = alternative[-1][0][:2]
-            spots = self.index.get((kind, name), [])
-            for i in spots[bisect_left(spots, lo) : bisect_left(spots, hi)]:
-                if _matches(self.nodes[i], alternative):
-                    found.add(i)
-        return [self.nodes[i] for i in sorted(found)]
+        return [self.nodes[i] for i in sorted(set(self._hits(selector, within)))]
 
     def first(self, selector: str, within: _Node | None = None) -> _Node | None:
-        hits = self.select(selector, within)
-        return hits[0] if hits else None
+        hit = min(self._hits(selector, within), default=None)
+        return None if hit is None else self.nodes[hit]
+
+    def _hits(self, selector: str, within: _Node | None) -> Iterator[int]:
+        lo, hi = (within.first + 1, within.last) if within else (0, len(self.nodes))
+        for key, chain in _COMPILED.get(selector) or _compile(selector):
+            spots = self.index.get(key)
+            if spots:
+                for i in spots[bisect_left(spots, lo) : bisect_left(spots, hi)]:
+                    if _matches(self.nodes[i], chain):
+                        yield i
 
     def first_text(self, selectors: list[str], within: _Node) -> str | None:
         for s in selectors:
@@ -223,24 +227,25 @@ _COMPILED: dict[str, list] = {}
 
 
 def _compile(selector: str) -> list:
-    """Comma list of descendant chains of (kind, name, operator, value) tests."""
-    if selector not in _COMPILED:
-        alternatives = []
-        for part in selector.split(","):
-            chain = []
-            for compound in part.split():
-                tests = []
-                for tag, cls, attr, op, value in _PART.findall(compound):
-                    if tag:
-                        tests.append(("tag", tag, "", ""))
-                    elif cls:
-                        tests.append(("class", cls, "", ""))
-                    else:
-                        tests.append(("attr", attr, op, value))
-                chain.append(tests)
-            alternatives.append(chain)
-        _COMPILED[selector] = alternatives
-    return _COMPILED[selector]
+    """Comma list of descendant chains of (kind, name, operator, value) tests, each with
+    the index entry its last element is found by.
+    """
+    alternatives = []
+    for part in selector.split(","):
+        chain = []
+        for compound in part.split():
+            tests = []
+            for tag, cls, attr, op, value in _PART.findall(compound):
+                if tag:
+                    tests.append(("tag", tag, "", ""))
+                elif cls:
+                    tests.append(("class", cls, "", ""))
+                else:
+                    tests.append(("attr", attr, op, value))
+            chain.append(tests)
+        alternatives.append((chain[-1][0][:2], chain))
+    _COMPILED[selector] = alternatives
+    return alternatives
 
 
 def _passes(node: _Node, tests: list) -> bool:
@@ -301,50 +306,54 @@ def _jobs(page: Page, base_url: str, selectors: dict[str, list[str]]) -> list[di
 _COUNT = re.compile(X.JOB_COUNT_PATTERN)
 
 
-def read_page(html: str, base_url: str, selectors: dict[str, list[str]]) -> dict:
-    """Everything one page yields."""
-    page = Page(html or "")
-    counts = (_COUNT.search(t) for _, t in page.texts)
-    total = next((int(m.group(1).replace(",", "")) for m in counts if m), None)
-    current, links = None, None
-    box = next((n for n in (page.first(s) for s in selectors["pagination"]) if n), None)
-    if box:
-        mark = page.first(CURRENT_PAGE, box)
-        current = page.text(mark) if mark else None
-        links = len(page.select(PAGE_LINKS, box)) or None
-    form = page.first(SEARCH_FORM)
-    names = [n.attrs.get("name") for n in page.select(FORM_FIELDS, form)] if form else []
-    usage = [
-        {"category": c, "selector": s, "n_matches": len(page.select(s))}
-        for c, options in selectors.items()
-        for s in options
-    ]
-    return {
-        "jobs": _jobs(page, base_url, selectors),
-        "total_jobs": total,
-        "current_page": current or "1",
-        "page_links": links,
-        "search_url": form.attrs.get("action") if form else None,
-        "search_method": (form.attrs.get("method") or "GET") if form else None,
-        "search_fields": [n for n in names if n],
-        "usage": [u for u in usage if u["n_matches"]],
-    }
+PARTS = ("jobs", "pagination", "search", "usage")
+
+
+def read_page(html: str, base_url: str, selectors: dict[str, list[str]], parts: tuple[str, ...] = PARTS) -> dict:
+    """What one page yields; parts not asked for stay empty."""
+    page, out = Page(html or ""), {}
+    if "jobs" in parts:
+        out["jobs"] = _jobs(page, base_url, selectors)
+    if "pagination" in parts:
+        counts = (_COUNT.search(t) for _, t in page.texts)
+        out["total_jobs"] = next((int(m.group(1).replace(",", "")) for m in counts if m), None)
+        box = next((n for n in (page.first(s) for s in selectors["pagination"]) if n), None)
+        mark = page.first(CURRENT_PAGE, box) if box else None
+        out["current_page"] = (page.text(mark) if mark else "") or "1"
+        out["page_links"] = (len(page.select(PAGE_LINKS, box)) or None) if box else None
+    form = page.first(SEARCH_FORM) if "search" in parts else None
+    if form:
+        out["search_url"] = form.attrs.get("action") or None
+        out["search_method"] = form.attrs.get("method") or "GET"
+        names = (n.attrs.get("name") for n in page.select(FORM_FIELDS, form))
+        out["search_fields"] = [n for n in names if n]
+    if "usage" in parts:
+        counted = ((c, s, len(page.select(s))) for c, options in selectors.items() for s in options)
+        out["usage"] = [{"category": c, "selector": s, "n_matches": n} for c, s, n in counted if n]
+    return out
 
 
 def parse_pages(
-    pages: DataFrame, selectors: dict[str, list[str]] = SELECTORS, keep: tuple[str, ...] = ("page_id",)
+    pages: DataFrame,
+    selectors: dict[str, list[str]] = SELECTORS,
+    keep: tuple[str, ...] = ("page_id",),
+    parts: tuple[str, ...] = PARTS,
 ) -> DataFrame:
-    """Pages (html, base_url) -> jobs, pagination, search form and selector usage, in one pass."""
+    """Pages (html, base_url) -> jobs, pagination, search form and selector usage, in one pass.
+
+    ``parts`` names what is wanted: the optimizer cannot prune inside the parser.
+    """
     options = {**SELECTORS, **selectors}
+    page_type = to_arrow_type(T.StructType.fromDDL(PAGE_TYPE))
 
-    @F.pandas_udf(PAGE_TYPE)
-    def extract(html: pd.Series, base: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(
-            [read_page(h, b, options) for h, b in zip(html, base, strict=True)],
-            columns=[p.split()[0] for p in PAGE_TYPE.split(", ")],
-        ).astype({"total_jobs": "Int64", "page_links": "Int64"})
+    @F.arrow_udf(PAGE_TYPE)
+    def extract(html: pa.Array, base: pa.Array) -> pa.Array:
+        pairs = zip(html.to_pylist(), base.to_pylist(), strict=True)
+        return pa.array([read_page(h, b, options, parts) for h, b in pairs], page_type)
 
-    return pages.select(*keep, "base_url", extract("html", "base_url").alias("p")).select(
+    # opaque to the optimizer: a page must not be parsed again for an inferred filter
+    once = extract.asNondeterministic()
+    return pages.select(*keep, "base_url", once("html", "base_url").alias("p")).select(
         *keep, "base_url", "p.*"
     )
 
@@ -368,38 +377,44 @@ def selector_matches(parsed: DataFrame) -> DataFrame:
     return parsed.select("page_id", F.explode("usage").alias("u")).select("page_id", "u.*")
 
 
+def provider_cards(html: str, provider: str) -> list[dict]:
+    """Cards of one page by the selectors of its provider."""
+    rules = PROVIDER_SELECTORS.get(provider)
+    if not rules:
+        return []
+    page, found = Page(html or ""), []
+    for box in page.select(rules["container"]):
+        title = page.first(rules["title"], box)
+        place = page.first(rules["location"], box)
+        if title:
+            found.append(
+                {
+                    "title": page.text(title),
+                    "location": page.text(place) if place else "",
+                    "href": title.attrs.get("href"),
+                }
+            )
+    return found
+
+
 def fallback_jobs(pages: DataFrame, run_at: Column | None = None, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Last resort: cards by the provider's own selectors -> POSTING fields.
 
     Pages need html, base_url, provider and company_name.
     """
 
-    @F.pandas_udf(CARD_TYPE)
-    def cards(html: pd.Series, provider: pd.Series) -> pd.Series:
-        out = []
-        for h, p in zip(html, provider, strict=True):
-            rules = PROVIDER_SELECTORS.get(p)
-            found = []
-            if rules:
-                page = Page(h or "")
-                for box in page.select(rules["container"]):
-                    title = page.first(rules["title"], box)
-                    place = page.first(rules["location"], box)
-                    if title:
-                        found.append(
-                            {
-                                "title": page.text(title),
-                                "location": page.text(place) if place else "",
-                                "href": title.attrs.get("href"),
-                            }
-                        )
-            out.append(found)
-        return pd.Series(out)
+    card_type = to_arrow_type(T.StructType.fromDDL(CARD_TYPE)["cards"].dataType)
+
+    @F.arrow_udf(T.StructType.fromDDL(CARD_TYPE)["cards"].dataType)
+    def cards(html: pa.Array, provider: pa.Array) -> pa.Array:
+        found = [provider_cards(h, p) for h, p in zip(html.to_pylist(), provider.to_pylist(), strict=True)]
+        return pa.array(found, card_type)
 
     base = [c for c in dict.fromkeys([*keep, "base_url", "provider", "company_name"])]
     rows = pages.filter(F.col("provider").isin(*PROVIDER_SELECTORS)).select(
-        *base, F.posexplode(cards("html", "provider")).alias("card_no", "c")
+        *base, cards.asNondeterministic()("html", "provider").alias("cards")
     )
+    rows = rows.select(*base, F.posexplode("cards").alias("card_no", "c"))
     title, href = F.trim("c.title"), F.col("c.href")
     number = X.blank_to_null(F.regexp_extract(href, JOB_ID_IN_HREF, 1))
     url = F.when(href.startswith("http"), href).otherwise(F.col("base_url"))

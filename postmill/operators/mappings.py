@@ -257,24 +257,27 @@ def discovered_easy_apply(item: Column) -> Column:
 
 
 def discovered(item: Column) -> dict[str, Column]:
-    job_id = discovered_job_id(item)
-    apply_url = discovered_apply_url(item)
-    provider = U.provider_of_url(apply_url)
-    description = discovered_description(item)
+    """What is read from the entity itself."""
     return {
-        "job_id": job_id,
+        "job_id": discovered_job_id(item),
         "title": V.string(item, "$.title"),
         "company_name": discovered_company(item),
         "location": discovered_location(item),
-        "description_hash": X.text_hash(description),
-        "description_snippet": X.snippet(description),
-        "source": F.lit("linkedin"),
-        "source_url": F.concat(F.lit("https://www.linkedin.com/jobs/view/"), job_id),
-        "apply_url": apply_url,
-        "ats_provider": provider,
-        "job_origin": U.job_origin(apply_url, provider),
+        "description": discovered_description(item),
+        "apply_url": discovered_apply_url(item),
         "easy_apply": discovered_easy_apply(item),
-        "external_apply": U.external_apply(apply_url),
+    }
+
+
+def derived_discovery() -> dict[str, Column]:
+    """What follows from the fields read (and ``ats_provider``)."""
+    return {
+        "description_hash": X.text_hash("description"),
+        "description_snippet": X.snippet("description"),
+        "source": F.lit("linkedin"),
+        "source_url": F.concat(F.lit("https://www.linkedin.com/jobs/view/"), "job_id"),
+        "job_origin": U.job_origin("apply_url", F.col("ats_provider")),
+        "external_apply": U.external_apply("apply_url"),
         "extraction_method": F.lit("api"),
     }
 

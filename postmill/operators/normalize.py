@@ -12,6 +12,7 @@ from postmill.functions import classify as C
 from postmill.functions import dates as D
 from postmill.functions import location as L
 from postmill.functions import text as X
+from postmill.functions import urls as U
 from postmill.operators import mappings as M
 from postmill.schemas import ATS_JOBS, INSERT_DEFAULTS, NATURAL_KEY, POSTING
 from postmill.sources.providers import PROVIDERS, Provider
@@ -80,7 +81,10 @@ def normalize_postings(
 
 def normalize_discoveries(items: DataFrame, run_at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Discovery entities -> POSTING rows; id, title and company are required."""
-    mapped = items.select(*keep, *[c.alias(n) for n, c in M.discovered(F.col("item")).items()])
+    read = items.select(*keep, *[c.alias(n) for n, c in M.discovered(F.col("item")).items()])
+    # a second projection, so what several fields derive from is read only once
+    mapped = read.withColumn("ats_provider", U.provider_of_url("apply_url"))
+    mapped = mapped.withColumns(M.derived_discovery())
     rows = mapped.filter(X.is_filled("job_id") & X.is_filled("title") & X.is_filled("company_name"))
     if run_at is not None:
         rows = rows.withColumn("extracted_at", run_at)
@@ -155,6 +159,10 @@ def to_ats_jobs(flat: DataFrame, run_at: Column | None = None, keep: tuple[str,
         return F.coalesce(get(name), F.lit(""))
 
     now = run_at if run_at is not None else F.lit(None).cast("timestamp")
+    # the long text is lowercased once, below the projection that reads it several times
+    flat = flat.withColumns(
+        {"_low": F.lower(get("description")), "_low_all": C.title_and_text(get("title"), get("description"))}
+    )
     fields = {
         "ats_source": F.lit(FLAT_SOURCE),
         "company_slug": get("company_slug"),
@@ -174,13 +182,13 @@ def to_ats_jobs(flat: DataFrame, run_at: Column | None = None, keep: tuple[str,
         "country": L.location_part(get("location"), 2),
         "work_location_type": L.work_location_type(get("location")),
         "experience_level": C.experience_level(get("type")),
-        "years_experience_min": X.first_years_match(get("description")),
-        "management_level": C.management_level(get("title"), get("description")),
+        "years_experience_min": X.years_of(F.col("_low")),
+        "management_level": C.management_of(F.col("_low_all")),
         "employment_type": C.employment_type(get("type")),
         "job_type": C.employment_type(get("type")),
         "industry_domain": get("department"),
         "job_function": get("department"),
-        "education_required": C.education_level(get("description")),
+        "education_required": C.education_of(F.col("_low")),
         "processing_status": F.lit("scraped"),
         "ai_extraction_confidence": F.lit(FLAT_CONFIDENCE),
         "raw_data": get("raw"),

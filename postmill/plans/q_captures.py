@@ -145,11 +145,11 @@ PAGE_SELECTORS = {
 )
 def page_extract(i):
     pages = i.table("pages").select("page_id", F.col("url").alias("base_url"), "html")
-    return H.page_jobs(H.parse_pages(pages, PAGE_SELECTORS)).select("page_id", "card_no", "title")
+    return H.page_jobs(H.parse_pages(pages, PAGE_SELECTORS, parts=("jobs",))).select("page_id", "card_no", "title")
 
 
-def _parsed(i: Inputs) -> DataFrame:
-    return H.parse_pages(i.view("careers_pages"))
+def _parsed(i: Inputs, part: str) -> DataFrame:
+    return H.parse_pages(i.view("careers_pages"), parts=(part,))
 
 
 CARDS_SQL = """SELECT page_id, title, location, department, type, url, meta FROM (
@@ -160,7 +160,7 @@ CARDS_SQL = """SELECT page_id, title, location, department, type, url, meta FROM
 
 @query("page_cards", "J1 J2 J3 J7 C14 B18 G4", ["careers_pages"], CARDS_SQL)
 def page_cards(i):
-    rows = H.page_jobs(_parsed(i))
+    rows = H.page_jobs(_parsed(i, "jobs"))
     entries = F.array_sort(F.map_entries("metadata"))
     meta = F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
     return rows.select("page_id", "title", "location", "department", "type", "url", meta.alias("meta"))
@@ -174,7 +174,7 @@ def page_cards(i):
     'scraped' AS processing_status FROM ({CARDS_SQL})""",
 )
 def page_jobs_row(i):
-    flat = H.page_jobs(_parsed(i)).withColumns({"id": F.lit(""), "company_slug": F.lit("acme")})
+    flat = H.page_jobs(_parsed(i, "jobs")).withColumns({"id": F.lit(""), "company_slug": F.lit("acme")})
     rows = N.to_ats_jobs(flat, keep=("page_id",))
     return rows.select(
         "page_id", "job_title", "job_location", "job_url", "employment_type", "job_function", "processing_status"
@@ -189,7 +189,7 @@ def page_jobs_row(i):
     SELECT page_id, CAST(regexp_extract(html, '(\\d+) Jobs Found', 1) AS BIGINT) AS total_jobs FROM careers_pages)""",
 )
 def page_pagination(i):
-    return H.page_pagination(_parsed(i))
+    return H.page_pagination(_parsed(i, "pagination"))
 
 
 @query(
@@ -211,7 +211,7 @@ def page_urls(i):
     "SELECT page_id, '/search' AS search_url, 'post' AS search_method, 'q,loc' AS search_fields FROM careers_pages",
 )
 def search_forms(i):
-    return _parsed(i).select("page_id", "search_url", "search_method", F.array_join("search_fields", ",").alias("search_fields"))
+    return _parsed(i, "search").select("page_id", "search_url", "search_method", F.array_join("search_fields", ",").alias("search_fields"))
 
 
 USED = [
@@ -242,7 +242,7 @@ USED_SQL = ", ".join(f"('{c}', '{s}', {n})" for c, s, n in USED)
     f"SELECT category, selector, per_page * n_pages AS n_matches FROM (VALUES {USED_SQL}) AS used(category, selector, per_page), (SELECT count(*) AS n_pages FROM documents)",
 )
 def selector_usage(i):
-    return R.selector_usage(H.selector_matches(_parsed(i)))
+    return R.selector_usage(H.selector_matches(_parsed(i, "usage")))
 
 
 @query(
