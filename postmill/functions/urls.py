@@ -59,6 +59,7 @@ BLOCK_PATTERNS = {
         r"challenge\.linkedin\.com",
     ],
 }
+BLOCK_REASONS = ["rate_limited", *BLOCK_PATTERNS]
 BLOCK_WORDS = ["captcha", "login", "signin", "auth", "challenge"]
 OFFER_LIST_PATTERN = r"/api/offers/?(\?.*)?$"
 OFFER_DETAIL_PATTERN = r"/api/offers/([^/\?]+)(\?.*)?$"

@@ -36,8 +36,14 @@ def before_block(log: DataFrame) -> DataFrame:
 
 
 def crawl_state(log: DataFrame) -> DataFrame:
-    """Per crawl: requests, last request, usable responses, first block, errors."""
+    """Per crawl: requests, last request, usable responses, first block, errors.
+
+    The reason is carried as a small number, so the aggregation works on fixed-width buffers
+    and stays hash-based.
+    """
     reason = U.block_reason("status", "url")
+    reasons = F.array(*[F.lit(r) for r in U.BLOCK_REASONS])
+    first = F.min_by(F.array_position(reasons, reason), F.when(reason.isNotNull(), F.col("seq")))
     usable = (
         reason.isNull()
         & U.is_job_api("url")
@@ -50,7 +56,7 @@ def crawl_state(log: DataFrame) -> DataFrame:
         F.count_if(usable).alias("api_responses_captured"),
         F.count_if(reason.isNotNull()).alias("n_blocks"),
         (F.count_if(reason.isNotNull()) > 0).alias("is_blocked"),
-        F.min_by(reason, F.when(reason.isNotNull(), F.col("seq"))).alias("block_reason"),
+        F.get(reasons, first.cast("int") - 1).alias("block_reason"),
         F.count_if(F.col("status") >= 400).alias("n_errors"),
     )
 

@@ -12,7 +12,7 @@ from postmill.operators.reconcile import first_by
 
 def _keyed(details: DataFrame, keys: list[str]) -> DataFrame:
     """One detail row per key, so the list side is never multiplied."""
-    order = "seq" if "seq" in details.columns else F.to_json("detail")
+    order = "seq" if "seq" in details.columns else F.xxhash64(F.to_json("detail"))
     return first_by(details, keys, [order])
 
 

@@ -149,8 +149,11 @@ class Page(HTMLParser):
         self.texts: list[tuple[int, str]] = []  # (number of nodes opened before, text)
         self.index: dict[tuple[str, str], list[int]] = defaultdict(list)
         self._open: list[_Node] = []
-        self.feed(html)
-        self.close()
+        try:
+            self.feed(html)
+            self.close()
+        except AssertionError:
+            pass  # markup the parser rejects: keep what was read so far
         while self._open:
             self._shut(self._open.pop())
         self._starts = [n for n, _ in self.texts]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.text import blank_to_null, clean_text, col
-from postmill.operators.reconcile import first_by
+from postmill.operators.reconcile import first_by, union_all
 
 # ---- fixed values ----
 SCORES = {"apply_url": 1.0, "job_id": 1.0, "description_hash": 1.0, "title_location": 0.95}
@@ -253,15 +253,15 @@ def duplication_report(discovered: DataFrame, career: DataFrame, matches: DataFr
     providers = _count_map(discovered.filter(F.col("ats_provider") != "unknown"), "ats_provider")
     origins = _count_map(discovered, "job_origin")
     rate = F.coalesce(F.try_divide("confirmed_duplicates", "total_analyzed"), F.lit(0.0))
-    # every side is one aggregated row
-    one = F.lit(1).alias("one")
-    row = totals.select("*", one)
-    for side in (
-        n_career.select("*", one),
-        providers.select(F.col("m").alias("ats_distribution"), one),
-        origins.select(F.col("m").alias("job_origin_distribution"), one),
-    ):
-        row = row.join(side, "one")
+    # every part is one aggregated row; stacking them and keeping what is set needs no join
+    parts = [
+        totals,
+        n_career,
+        providers.select(F.col("m").alias("ats_distribution")),
+        origins.select(F.col("m").alias("job_origin_distribution")),
+    ]
+    stacked = union_all(*parts)
+    row = stacked.agg(*[F.any_value(c, F.lit(True)).alias(c) for c in stacked.columns])
     return row.select(
         "total_analyzed",
         "total_career_page_jobs",

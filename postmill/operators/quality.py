@@ -248,11 +248,15 @@ QUALITY = {"title": (50, 0.9), "location": (30, 0.7), "URL": (20, 0.8)}
 
 
 def extraction_quality(
-    rows: DataFrame, title: str, location: str, url: str, by: list[str] | None = None
+    rows: DataFrame, title: str, location: str, url: str, by: list[str] | None = None, **more: Column
 ) -> DataFrame:
-    """Coverage of three columns, weighted score 0-100 and the list of issues."""
+    """Coverage of three columns, weighted score 0-100 and the list of issues.
+
+    ``more`` are further aggregates of the same pass.
+    """
     names = {"title": title, "location": location, "URL": url}
     aggs = [F.avg(X.is_filled(c).cast("double")).alias(f"_{k}") for k, c in names.items()]
+    aggs += [c.alias(n) for n, c in more.items()]
     stats = rows.groupBy(*(by or [])).agg(F.count("*").alias("n_jobs"), *aggs)
     share = {k: F.coalesce(F.col(f"_{k}"), F.lit(0.0)) for k in QUALITY}
     score = reduce(lambda a, b: a + b, [share[k] * w for k, (w, _) in QUALITY.items()])
@@ -269,5 +273,6 @@ def extraction_quality(
         F.when(F.col("n_jobs") == 0, F.array(F.lit("No jobs extracted")))
         .otherwise(F.array_compact(F.array(*issues)))
         .alias("issues"),
+        *more,
     )
 

@@ -80,15 +80,11 @@ def example_projection(jobs: DataFrame, columns: list[str]) -> DataFrame:
 
 def test_summary(jobs: DataFrame, method: str, compliant: Column) -> DataFrame:
     """One-row summary object of a run."""
-    quality = Q.extraction_quality(jobs, "job_title", "job_location", "job_url")
-    checked = jobs.agg(F.coalesce(F.bool_and(compliant), F.lit(False)).alias("ats_compliant"), F.lit(1).alias("one"))
-    return (
-        quality.withColumn("one", F.lit(1))
-        .join(checked, "one")
-        .select(
-            F.col("n_jobs").alias("total_jobs"),
-            F.lit(method).alias("scraping_method"),
-            F.col("score").alias("quality_score"),
-            "ats_compliant",
-        )
+    all_ok = F.coalesce(F.bool_and(compliant), F.lit(False))
+    quality = Q.extraction_quality(jobs, "job_title", "job_location", "job_url", ats_compliant=all_ok)
+    return quality.select(
+        F.col("n_jobs").alias("total_jobs"),
+        F.lit(method).alias("scraping_method"),
+        F.col("score").alias("quality_score"),
+        "ats_compliant",
     )
