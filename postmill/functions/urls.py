@@ -185,14 +185,21 @@ def offer_slug(url: Column | str) -> Column:
     )
 
 
-def block_reason_of_url(url: Column | str) -> Column:
-    low = F.lower(col(url))
+def first_pattern(c: Column | str, patterns: dict[str, list[str]]) -> Column:
+    """Label of the first entry one of whose patterns is found; the order is the priority.
+
+    A pattern table becomes one CASE expression: no join, each row is read once.
+    """
     expr = F
-    for reason, patterns in BLOCK_PATTERNS.items():
-        expr = expr.when(low.rlike("|".join(patterns)), reason)
+    for label, options in patterns.items():
+        expr = expr.when(col(c).rlike("|".join(options)), label)
     return expr.otherwise(F.lit(None).cast("string"))
 
 
+def block_reason_of_url(url: Column | str) -> Column:
+    return first_pattern(F.lower(col(url)), BLOCK_PATTERNS)
+
+
 def block_reason(status: Column | str, url: Column | str) -> Column:
     return (
         F.when(col(status) == 429, "rate_limited")

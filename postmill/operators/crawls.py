@@ -61,6 +61,11 @@ def crawl_state(log: DataFrame) -> DataFrame:
     )
 
 
+def jobs_collected(postings: DataFrame) -> DataFrame:
+    """Distinct jobs per crawl, as an addition to ``crawl_state``."""
+    return postings.groupBy("crawl_id").agg(F.count_distinct("job_id").alias("jobs_collected"))
+
+
 def apply_url_map(captures: DataFrame) -> DataFrame:
     """Job id -> apply URL from the ``included`` objects; the last one seen wins."""
     item = F.col("item")

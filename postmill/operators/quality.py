@@ -93,28 +93,24 @@ def reject_counts(checked: DataFrame) -> DataFrame:
 # ---- table constraints ----
 
 
-def constraint_checks(strict_remote_scope: bool = False) -> dict[str, Column]:
-    """Constraint name -> violated (never null; null values pass every check)."""
-    checks = {f"not_null_{c}": F.col(c).isNull() for c in NATURAL_KEY}
-    checks["valid_ai_confidence"] = ~F.col("ai_extraction_confidence").between(0, 1)
+def constraint_checks(columns: list[str], strict_remote_scope: bool = False) -> dict[str, Column]:
+    """Constraint name -> violated (never null; null values pass every check), for the columns there are."""
+    checks = {(f"not_null_{c}", c): F.col(c).isNull() for c in NATURAL_KEY}
+    confidence = "ai_extraction_confidence"
+    checks["valid_ai_confidence", confidence] = ~F.col(confidence).between(0, 1)
     for c, values in DOMAINS.items():
-        checks[f"valid_{c}"] = ~F.col(c).isin(*values)
+        checks[f"valid_{c}", c] = ~F.col(c).isin(*values)
     if strict_remote_scope:
         # As written the constraint's list holds a NULL and so never rejects.
-        checks["valid_remote_scope"] = ~F.col("remote_scope").isin(*REMOTE_SCOPES)
+        checks["valid_remote_scope", "remote_scope"] = ~F.col("remote_scope").isin(*REMOTE_SCOPES)
     for c, n in MAX_LENGTH.items():
-        checks[f"length_{c}"] = F.char_length(c) > n
-    return {name: F.coalesce(bad, F.lit(False)) for name, bad in checks.items()}
+        checks[f"length_{c}", c] = F.char_length(c) > n
+    return {name: F.coalesce(bad, F.lit(False)) for (name, c), bad in checks.items() if c in columns}
 
 
 def with_violations(rows: DataFrame, strict_remote_scope: bool = False) -> DataFrame:
     """Add ``violations``, the names of the constraints each row breaks."""
-    have = set(rows.columns)
-    checks = {
-        n: c
-        for n, c in constraint_checks(strict_remote_scope).items()
-        if n.split("_", 1)[1].removeprefix("null_") in have or n == "valid_ai_confidence"
-    }
+    checks = constraint_checks(rows.columns, strict_remote_scope)
     named = [F.when(bad, F.lit(n)) for n, bad in checks.items()]
     return rows.withColumn("violations", F.array_compact(F.array(*named)))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from postmill.functions.text import col, percent
-from postmill.operators.reconcile import company_key, first_by
+from postmill.operators.reconcile import company_key, first_by, union_all
 
 
 def distribution(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -72,51 +72,45 @@ def display_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def summary_lines(jobs: DataFrame, max_companies: int = 10) -> DataFrame:
-    """Text summary as ordered lines: totals, ATS companies, first native companies."""
-    totals = run_totals(jobs)
+def summary_lines(jobs: DataFrame, max_companies: int = 10, errors: DataFrame | None = None) -> DataFrame:
+    """Text summary as ordered lines (part, pos, line): totals, ATS companies, the first
+    native companies with an overflow mark, and errors (``pos``, ``error``).
+    """
+    zero = F.lit(0).cast("bigint")
+
+    def lines(part: int, df: DataFrame, pos: Column, line: Column) -> DataFrame:
+        return df.select(F.lit(part).alias("part"), pos.cast("bigint").alias("pos"), line.alias("line"))
+
     pairs = [
         ("Total Jobs Extracted: ", "n_jobs"),
         ("ATS Jobs: ", "n_ats"),
         ("LinkedIn-Native Jobs: ", "n_native"),
         ("ATS Companies Detected: ", "n_ats_companies"),
     ]
-    head = totals.select(
-        F.posexplode(F.array(*[F.concat(F.lit(t), F.col(c).cast("string")) for t, c in pairs])).alias("pos", "line")
-    ).select(F.lit(0).alias("part"), F.col("pos").cast("bigint").alias("pos"), "line")
-    ats = (
-        jobs.filter(F.col("job_origin") == "ATS")
-        .groupBy(company_key().alias("company_key"))
-        .agg(
-            F.min("seq").alias("pos"),
-            F.min("company_name").alias("name"),
-            F.min("ats_provider").alias("provider"),
-            F.count("*").alias("n"),
-        )
-        .select(
-            F.lit(1).alias("part"),
-            F.col("pos").cast("bigint").alias("pos"),
-            F.format_string("  - %s: %s (%d jobs)", "name", "provider", "n").alias("line"),
-        )
-    )
-    native = (
-        jobs.filter(F.col("job_origin") == "LINKEDIN_NATIVE")
-        .groupBy(company_key().alias("company_key"))
-        .agg(F.min("seq").alias("pos"))
+    shown = F.array(*[F.concat(F.lit(t), F.col(c).cast("string")) for t, c in pairs])
+    totals = run_totals(jobs).select("*", F.posexplode(shown).alias("pos", "line"))
+    companies = jobs.groupBy(company_key().alias("company_key"), (F.col("job_origin") == "ATS").alias("is_ats")).agg(
+        F.min("seq").alias("pos"),
+        F.min("company_name").alias("name"),
+        F.min("ats_provider").alias("provider"),
+        F.count("*").alias("n"),
     )
-    shown = native.orderBy("pos").limit(max_companies).select(
-        F.lit(2).alias("part"), F.col("pos").cast("bigint"), F.concat(F.lit("  - "), "company_key").alias("line")
-    )
-    more = (
-        native.agg((F.count("*") - max_companies).alias("k"))
-        .filter(F.col("k") > 0)
-        .select(
-            F.lit(3).alias("part"),
-            F.lit(0).cast("bigint").alias("pos"),
-            F.concat(F.lit("  ... and "), F.col("k").cast("string"), F.lit(" more")).alias("line"),
-        )
-    )
-    return head.unionByName(ats).unionByName(shown).unionByName(more)
+    ats, native = companies.filter("is_ats"), companies.filter("NOT is_ats")
+    counts = native.agg(F.count("*").alias("n")).filter("n > 0")
+    more = counts.filter(F.col("n") > max_companies)
+    parts = [
+        lines(0, totals, F.col("pos"), F.col("line")),
+        lines(1, ats.agg(F.count("*").alias("n")).filter("n > 0"), zero, F.lit("ATS Companies:")),
+        lines(2, ats, F.col("pos"), F.format_string("  - %s: %s (%d jobs)", "name", "provider", "n")),
+        lines(3, counts, zero, F.format_string("LinkedIn-Native Companies (%d):", "n")),
+        lines(4, native.orderBy("pos").limit(max_companies), F.col("pos"), F.concat(F.lit("  - "), "company_key")),
+        lines(5, more, zero, F.format_string("  ... and %d more", F.col("n") - max_companies)),
+    ]
+    if errors is not None:
+        n_errors = errors.agg(F.count("*").alias("n")).filter("n > 0")
+        parts.append(lines(6, n_errors, zero, F.format_string("Errors (%d):", "n")))
+        parts.append(lines(7, errors, F.col("pos"), F.concat(F.lit("  - "), "error")))
+    return union_all(*parts)
 
 
 def selector_usage(matches: DataFrame) -> DataFrame:

@@ -60,21 +60,23 @@ def _partial_top(qids: np.ndarray, qmat: np.ndarray, k: int, allowed: np.ndarray
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [(np.empty(0), np.empty(0, np.int64)) for _ in qids]
+        floor = np.full(len(qids), -np.inf)  # score a row must reach to matter to a query
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = batch.column("id").to_numpy()
             scores = _unit(_matrix(batch.column("vec"))) @ qmat.T
-            lists = batch.column("list_id").to_numpy() if allowed is not None else None
-            for q in range(len(qids)):
-                s, i = scores[:, q], ids
-                if allowed is not None:
-                    hit = allowed[q][lists]
-                    s, i = s[hit], i[hit]
-                s = np.concatenate([best[q][0], s])
-                i = np.concatenate([best[q][1], i])
+            hits = scores >= floor
+            if allowed is not None:
+                hits &= allowed[:, batch.column("list_id").to_numpy()].T
+            for q in np.flatnonzero(hits.any(axis=0)):
+                rows = np.flatnonzero(hits[:, q])
+                s = np.concatenate([best[q][0], scores[rows, q]])
+                i = np.concatenate([best[q][1], ids[rows]])
                 top = _top(s, i, k)
                 best[q] = (s[top], i[top])
+                if len(top) == k:
+                    floor[q] = best[q][0][-1]
         counts = [len(b[0]) for b in best]
         if sum(counts):
             yield pa.RecordBatch.from_arrays(

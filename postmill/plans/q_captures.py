@@ -15,7 +15,7 @@ from postmill.operators import normalize as N
 from postmill.operators import report as R
 from postmill.operators import vectors as VC
 from postmill.plans.q_reports import UPSERTED, _keyed, _upsert_shown
-from postmill.plans.q_shapes import FEEDS, SHOWN
+from postmill.plans.q_shapes import DISCOVERED, FEEDS, SHOWN, discovery_items
 from postmill.plans.registry import Inputs, query, stamp
 from postmill.plans.views import VIEWS
 from postmill.session import work_dir
@@ -81,6 +81,16 @@ def crawl_state(i):
     return rows.withColumn("last_request_time", F.date_format("last_request_time", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query(
+    "jobs_collected",
+    "F7 G2",
+    ["discoveries"],
+    f"WITH {DISCOVERED} SELECT crawl_id, count(DISTINCT job_id) AS jobs_collected FROM d_rows WHERE job_id <> '' AND title <> '' AND company_name <> '' GROUP BY 1",
+)
+def jobs_collected(i):
+    return CR.jobs_collected(N.normalize_discoveries(discovery_items(i), keep=("crawl_id",)))
+
+
 LATCH = f"""SELECT crawl_id, seq FROM (SELECT *, max(CASE WHEN ({BLOCK}) IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY crawl_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS latched FROM capture_log) WHERE latched = 0"""
 
 

@@ -448,13 +448,16 @@ def csv_sink(i):
     ["postings"],
     f"""WITH {RECONCILED}, t AS (SELECT {TOTALS} FROM reconciled), native AS (SELECT company_key, min(seq) AS pos FROM reconciled WHERE job_origin = 'LINKEDIN_NATIVE' GROUP BY 1)
     SELECT unnest(['Total Jobs Extracted: ' || n_jobs, 'ATS Jobs: ' || n_ats, 'LinkedIn-Native Jobs: ' || n_native, 'ATS Companies Detected: ' || n_ats_companies]) AS line FROM t
+    UNION ALL SELECT 'ATS Companies:' UNION ALL SELECT 'LinkedIn-Native Companies (' || count(*) || '):' FROM native UNION ALL SELECT 'Errors (' || count(*) || '):' FROM postings WHERE title = '' UNION ALL SELECT '  - no title: ' || seq FROM postings WHERE title = ''
     UNION ALL SELECT '  - ' || min(company_name) || ': ' || min(ats_provider) || ' (' || count(*) || ' jobs)' FROM (SELECT * FROM reconciled WHERE job_origin = 'ATS') GROUP BY company_key
     UNION ALL SELECT line FROM (SELECT '  - ' || company_key AS line FROM native ORDER BY pos LIMIT 10)
     UNION ALL SELECT '  ... and ' || (count(*) - 10) || ' more' FROM native HAVING count(*) > 10""",
 )
 def summary_sink(i):
     path = work_dir(i.spark, "summary")
-    SK.write_summary(reconciled(i), path)
+    untitled = i.view("postings").filter("title = ''")
+    errors = untitled.select(F.col("seq").alias("pos"), F.concat(F.lit("no title: "), F.col("seq").cast("string")).alias("error"))
+    SK.write_summary(reconciled(i), path, errors=errors)
     return i.spark.read.text(path).withColumnRenamed("value", "line")
 
 
@@ -464,14 +467,14 @@ def summary_sink(i):
     ["payloads"],
     """WITH it AS (SELECT company_slug, json_valid(body) AS ok, CASE WHEN json_valid(body) THEN coalesce(CAST(body->>'$.totalFound' AS BIGINT), CAST(json_array_length(body, '$.content') AS BIGINT)) ELSE 0 END AS announced,
       CASE WHEN json_valid(body) THEN len(list_filter(json_extract(body, '$.content[*]'), lambda x: x->>'$.id' <> '')) ELSE 0 END AS n FROM payloads WHERE provider = 'smartrecruiters')
-    SELECT company_slug, bool_or(ok) AS success, CASE WHEN bool_or(ok) THEN 'api' END AS scraping_method, CASE WHEN bool_or(ok) THEN CAST(sum(n) AS BIGINT) END AS total_jobs,
+    SELECT company_slug, bool_or(ok) AS success, 'smartrecruiter' AS ats_type, CASE WHEN bool_or(ok) THEN 'api' END AS scraping_method, CASE WHEN bool_or(ok) THEN CAST(sum(n) AS BIGINT) END AS total_jobs,
     CASE WHEN bool_or(ok) THEN CAST(sum(announced) AS BIGINT) END AS total_found, count(*) AS pages_scraped, CASE WHEN bool_or(ok) THEN CASE WHEN sum(n) > 0 THEN 100.0 ELSE 0.0 END :: DOUBLE END AS score,
     CASE WHEN bool_or(ok) THEN CASE WHEN sum(n) > 0 THEN '' ELSE 'No jobs extracted' END END AS issues, CASE WHEN NOT bool_or(ok) THEN 'Failed to fetch postings from API' END AS error FROM it GROUP BY 1""",
 )
 def run_envelope(i):
     payloads = i.view("payloads").filter("provider = 'smartrecruiters'")
     rows = N.flatten_smartrecruiters(smart_items(i), ("company_slug",))
-    return SK.run_envelope(payload_totals(payloads), rows, "api", ["company_slug"], "title", "location", "url")
+    return SK.run_envelope(payload_totals(payloads), rows, "smartrecruiter", "api", ["company_slug"], "title", "location", "url")
 
 
 @query(

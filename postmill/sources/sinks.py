@@ -37,9 +37,11 @@ def write_csv(jobs: DataFrame, path: str, mode: str = "errorifexists") -> None:
     csv_rows(jobs).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
-def write_summary(jobs: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """The text summary; its lines are few, so they are ordered into one file."""
-    lines = R.summary_lines(jobs)
+def write_summary(
+    jobs: DataFrame, path: str, mode: str = "errorifexists", errors: DataFrame | None = None
+) -> None:
+    """The text summary, in order."""
+    lines = R.summary_lines(jobs, errors=errors)
     lines.orderBy("part", "pos").select("line").write.mode(mode).text(path)
 
 
@@ -48,7 +50,14 @@ def write_table(df: DataFrame, path: str, partition_by: list[str], mode: str = "
 
 
 def run_envelope(
-    totals: DataFrame, jobs: DataFrame, method: str, by: list[str], title: str, location: str, url: str
+    totals: DataFrame,
+    jobs: DataFrame,
+    ats_type: str,
+    method: str,
+    by: list[str],
+    title: str,
+    location: str,
+    url: str,
 ) -> DataFrame:
     """Run metadata per group: success, method, job count and quality, or the error.
 
@@ -63,6 +72,7 @@ def run_envelope(
     return rows.select(
         *by,
         ok.alias("success"),
+        F.lit(ats_type).alias("ats_type"),
         F.when(ok, F.lit(method)).alias("scraping_method"),
         F.when(ok, F.coalesce("n_jobs", F.lit(0))).cast("bigint").alias("total_jobs"),
         F.when(ok, F.col("total_found")).alias("total_found"),
