@@ -30,3 +30,9 @@ def test_first_wins_is_reduced_before_the_shuffle(spark, name):
 def test_columns_are_pruned(spark):
     assert "ReadSchema: struct<doc_id:bigint>" in plan(spark, "flagship_provider_distribution")
     assert "text" not in plan(spark, "queue_company").split("ReadSchema")[1]
+
+
+def test_every_inventory_row_has_a_query():
+    sizes = dict(A=18, B=21, C=17, D=15, E=9, F=15, G=12, H=4, I=37, J=7, K=4, L=8, M=3, N=2)
+    rows = {f"{letter}{n}" for letter, size in sizes.items() for n in range(1, size + 1)}
+    assert rows == {c for q in QUERIES.values() for c in q.covers.split()}
