@@ -9,6 +9,7 @@ from postmill.functions import urls as U
 from postmill.functions import variants as V
 from postmill.functions.text import blank_to_null
 from postmill.operators import mappings as M
+from postmill.operators.joins import lookup
 from postmill.operators.reconcile import first_by
 from postmill.sources.captures import JSON_TYPE, scan_included
 
@@ -30,7 +31,7 @@ def before_block(log: DataFrame) -> DataFrame:
     the log is never sorted in one task.
     """
     latch = first_blocks(log)
-    kept = log.join(latch, "crawl_id", "left")
+    kept = lookup(log, latch, ["crawl_id"])
     open_ = F.col("first_block_seq").isNull() | (F.col("seq") < F.col("first_block_seq"))
     return kept.filter(open_).drop("first_block_seq")
 

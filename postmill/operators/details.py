@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions import variants as V
 from postmill.functions.text import is_filled
+from postmill.operators.joins import lookup
 from postmill.operators.reconcile import first_by
 
 
@@ -26,7 +27,7 @@ def overlay_details(items: DataFrame, details: DataFrame) -> DataFrame:
     right = _keyed(
         details.select("company_slug", "uid", "detail", "detail_is_list"), ["company_slug", "uid"]
     )
-    rows = left.join(right, ["company_slug", "uid"], "left")
+    rows = lookup(left, right, ["company_slug", "uid"])
     own, extra = V.fields(F.col("item")), V.fields(F.col("detail"))
     only_extra = F.map_filter(extra, lambda k, _: ~F.map_contains_key(own, k))
     merged = F.to_variant_object(F.map_concat(only_extra, own))
@@ -43,7 +44,7 @@ def prefer_details(items: DataFrame, details: DataFrame) -> DataFrame:
         details.select("company_slug", "slug", F.coalesce(unwrapped, "detail").alias("detail")),
         ["company_slug", "slug"],
     )
-    rows = left.join(right, ["company_slug", "slug"], "left")
+    rows = lookup(left, right, ["company_slug", "slug"])
     return rows.select(
         *[c for c in left.columns if c != "item"],
         F.coalesce("detail", "item").alias("item"),

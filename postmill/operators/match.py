@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.text import blank_to_null, clean_text, col
+from postmill.operators.joins import lookup
 from postmill.operators.reconcile import first_by, union_all
 
 # ---- fixed values ----
@@ -27,6 +28,7 @@ SCORES = {"apply_url": 1.0, "job_id": 1.0, "description_hash": 1.0, "title_locat
 FUZZY_FLOOR = 0.85
 # Titles above this length are blocked by length bands instead of segments (still exact).
 SEGMENT_MAX_LENGTH = 100
+PAIR = ["company", "title", "career_title", "career_job_id"]
 
 
 def canonical_url(c: Column | str) -> Column:
@@ -63,7 +65,7 @@ def _exact_matches(discovered: DataFrame, career: DataFrame) -> DataFrame:
     """Best exact match per discovered posting: (seq, method, career_job_id)."""
     index = _keys(career.withColumn("career_job_id", F.col("job_id")), "career_job_id")
     index = index.groupBy("company", "method", "key").agg(F.min("career_job_id").alias("career_job_id"))
-    hits = _keys(discovered, "seq").join(index, ["company", "method", "key"])
+    hits = lookup(_keys(discovered, "seq"), index, ["company", "method", "key"], "inner")
     best = hits.groupBy("seq").agg(F.min(F.struct("method", "career_job_id")).alias("b"))
     return best.select("seq", "b.method", "b.career_job_id")
 
@@ -95,12 +97,14 @@ def _segment_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     index = right.filter(size <= SEGMENT_MAX_LENGTH).select(
         "company",
         F.col("title").alias("career_title"),
+        "career_job_id",
         size.alias("length"),
         F.explode(_segments(size, _max_edits(size))).alias("s"),
     )
     index = index.select(
         "company",
         "career_title",
+        "career_job_id",
         "length",
         F.col("s.no").alias("no"),
         F.substring("career_title", F.col("s.start"), F.col("s.size")).alias("piece"),
@@ -131,21 +135,19 @@ def _segment_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
         no.alias("no"),
         F.explode(F.transform(places, lambda p: F.substring("title", p, piece))).alias("piece"),
     )
-    return probes.join(index, ["company", "length", "no", "piece"]).select(
-        "company", "title", "career_title"
-    )
+    return probes.join(index, ["company", "length", "no", "piece"]).select(*PAIR)
 
 
 def _band_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs with a long title on the career side: equi join on neighbouring length bands."""
     band = F.floor(F.log(F.char_length("title").cast("double")) / F.log(F.lit(1 / FUZZY_FLOOR)))
     index = right.filter(F.char_length("title") > SEGMENT_MAX_LENGTH).select(
-        "company", F.col("title").alias("career_title"), band.alias("band")
+        "company", F.col("title").alias("career_title"), "career_job_id", band.alias("band")
     )
     near = F.explode(F.array(band - 1, band, band + 1)).alias("band")
     # only titles long enough to reach a long partner
     probes = left.filter(F.char_length("title") > SEGMENT_MAX_LENGTH * FUZZY_FLOOR - 1)
-    return probes.select("company", "title", near).join(index, ["company", "band"]).drop("band")
+    return probes.select("company", "title", near).join(index, ["company", "band"]).select(*PAIR)
 
 
 def title_score(a: Column | str, b: Column | str) -> Column:
@@ -162,12 +164,8 @@ def fuzzy_titles(left: DataFrame, right: DataFrame) -> DataFrame:
     pairs = _segment_candidates(left, right).unionByName(_band_candidates(left, right))
     score = title_score("title", "career_title")
     scored = pairs.withColumn("score", score).filter(F.col("score") >= FUZZY_FLOOR)
-    # A pair can share several segments; min/max below do not mind repeats.
-    best = scored.groupBy("company", "title", "career_title").agg(F.first("score").alias("score"))
-    named = best.join(
-        right.withColumnRenamed("title", "career_title"), ["company", "career_title"]
-    )
-    top = named.groupBy("company", "title").agg(
+    # a pair that shares several segments comes several times; the minimum does not mind
+    top = scored.groupBy("company", "title").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "career_job_id")).alias("b")
     )
     return top.select(
@@ -198,7 +196,7 @@ def match_duplicates(discovered: DataFrame, career: DataFrame) -> DataFrame:
     fuzzy = fuzzy_titles(open_titles, career_titles).select(
         "company", "title", "score", F.col("career_job_id").alias("fuzzy_job_id")
     )
-    rows = joined.join(fuzzy, ["company", "title"], "left")
+    rows = lookup(joined, fuzzy, ["company", "title"])
     by_fuzzy = F.col("method").isNull() & F.col("score").isNotNull()
     method = F
     for i, name in enumerate(SCORES):
@@ -282,4 +280,4 @@ def match_pairs(discovered: DataFrame, career: DataFrame, matches: DataFrame) ->
         F.struct(*[c for c in right.columns if c != "company"]).alias("career_job"),
     )
     left = discovered.select(F.col("seq").alias("discovered_seq"), F.struct(*discovered.columns).alias("discovered_job"))
-    return matches.join(left, "discovered_seq").join(right, ["company", "career_job_id"], "left")
+    return lookup(matches.join(left, "discovered_seq"), right, ["company", "career_job_id"])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from postmill.functions import text as X
 from postmill.functions import variants as V
 from postmill.operators import mappings as M
+from postmill.operators.joins import lookup
 from postmill.schemas import (
     DOMAINS,
     EMPTY_ARRAY_DEFAULTS,
@@ -38,7 +39,7 @@ def latest_status(statuses: DataFrame) -> DataFrame:
 def with_url_status(rows: DataFrame, statuses: DataFrame, url: str) -> DataFrame:
     """Add ``url_ok``: the URL's latest status is 2xx; an unseen URL is not ok."""
     last = latest_status(statuses).select(F.col("url").alias(url), "status")
-    joined = rows.join(last, url, "left")
+    joined = lookup(rows, last, [url])
     return joined.withColumn(
         "url_ok", F.coalesce(F.col("status").between(200, 299), F.lit(False))
     ).drop("status")

@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from postmill.functions import urls as U
 from postmill.functions.text import col, is_filled
+from postmill.operators.joins import lookup
 
 # phase of a posting in the result: native ones first, then the feeds
 NATIVE, FEED, DISCOVERED_ATS = 0, 1, 2
@@ -72,8 +73,7 @@ def split_origins(discovered: DataFrame) -> DataFrame:
 def supersede(discovered: DataFrame, fetched: DataFrame) -> DataFrame:
     """Native ∪ fetched ∪ discovered ATS postings of companies without a fetched one.
 
-    Both inputs are postings with ``seq``. The company set is pre-aggregated; whether it is
-    small enough to broadcast is left to Spark's size check, beyond it AQE splits hot companies.
+    Both inputs are postings with ``seq``.
     """
     found = split_origins(discovered).withColumn("company_key", company_key())
     feed = split_origins(fetched).withColumns(
@@ -81,7 +81,7 @@ def supersede(discovered: DataFrame, fetched: DataFrame) -> DataFrame:
     )
     both = found.unionByName(feed, allowMissingColumns=True)
     has_feed = companies(fetched).withColumn("has_feed", F.lit(True))
-    kept = both.join(has_feed, "company_key", "left").filter(
+    kept = lookup(both, has_feed, ["company_key"]).filter(
         (F.col("phase") != DISCOVERED_ATS) | F.col("has_feed").isNull()
     )
     return kept.drop("has_feed")
@@ -104,7 +104,7 @@ def reconcile(discovered: DataFrame, fetched: DataFrame, max_per_company: int |
     unique = first_by(both, ["company_key", "job_id"], ["phase", "seq"])
     has_feed = companies(fetched).withColumn("has_feed", F.lit(True))
     return (
-        unique.join(has_feed, "company_key", "left")
+        lookup(unique, has_feed, ["company_key"])
         .filter((F.col("phase") != DISCOVERED_ATS) | F.col("has_feed").isNull())
         .drop("has_feed")
     )
@@ -115,7 +115,7 @@ def cheapest_source_first(*sources: DataFrame) -> DataFrame:
     out = sources[0].withColumn("company_key", company_key())
     for later in sources[1:]:
         rest = later.withColumn("company_key", company_key())
-        missing = rest.join(companies(out), "company_key", "left_anti")
+        missing = lookup(rest, companies(out), ["company_key"], "left_anti")
         out = out.unionByName(missing, allowMissingColumns=True)
     return out
 
@@ -137,7 +137,7 @@ def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 def with_apply_urls(postings: DataFrame, apply_urls: DataFrame) -> DataFrame:
     """Fill missing apply URLs from the map job id -> URL (one row per id)."""
     known = apply_urls.select("job_id", F.col("apply_url").alias("mapped_url"))
-    rows = postings.join(known, "job_id", "left")
+    rows = lookup(postings, known, ["job_id"])
     return rows.withColumn("apply_url", F.coalesce("apply_url", "mapped_url")).drop("mapped_url")
 
 
@@ -160,13 +160,13 @@ def with_company_info(postings: DataFrame, dimension: DataFrame) -> DataFrame:
         F.col("ats_base_url").alias("known_base_url"),
         F.lit(True).alias("is_known"),
     )
-    rows = postings.withColumn("company_key", company_key()).join(info, "company_key", "left")
+    rows = lookup(postings.withColumn("company_key", company_key()), info, ["company_key"])
     return rows.withColumn("is_known", F.coalesce("is_known", F.lit(False)))
 
 
 def known_only(postings: DataFrame, dimension: DataFrame) -> DataFrame:
     keys = dimension.select("company_key")
-    return postings.withColumn("company_key", company_key()).join(keys, "company_key", "left_semi")
+    return lookup(postings.withColumn("company_key", company_key()), keys, ["company_key"], "left_semi")
 
 
 def company_groups(postings: DataFrame, order: str = "seq") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from postmill.operators.crawls import first_blocks
+from postmill.operators.joins import lookup
 from postmill.operators.normalize import normalize_postings
 from postmill.operators.reconcile import company_key
 from postmill.operators.upsert import upsert_table
@@ -73,7 +74,7 @@ def stream_block_latch(captures: DataFrame, path: str, latches: str, checkpoint:
         new.write.mode("overwrite").parquet(f"{latches}/batch={batch_id}")
         known = _read(spark, f"{latches}/batch=*", schema)
         latch = known.groupBy("crawl_id").agg(F.min("first_block_seq").alias("first_block_seq"))
-        rows = batch.join(latch, "crawl_id", "left")
+        rows = lookup(batch, latch, ["crawl_id"])
         open_ = F.col("first_block_seq").isNull() | (F.col("seq") < F.col("first_block_seq"))
         kept = rows.filter(open_).drop("first_block_seq")
         kept.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

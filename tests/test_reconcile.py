@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from postmill.operators import crawls as CR
+from postmill.operators import joins as JN
 from postmill.operators import match as MT
 from postmill.operators import reconcile as RC
 from postmill.operators.upsert import upsert
@@ -154,3 +155,27 @@ def test_upsert_touches_only_changed_rows(spark):
     }
     again = upsert(once, batch, F.lit("2024-06-06").cast("timestamp"))
     assert RC.same_rows(once, again).first().equal
+
+
+def test_salted_lookup_equals_plain_join(spark, monkeypatch):
+    rows = [(n, "hot" if n % 3 else None if n % 2 else f"k{n % 50}") for n in range(3000)]
+    left = spark.createDataFrame(rows, "seq long, k string")
+    right = spark.createDataFrame([("hot", 1), ("k2", 2), ("k40", 3), ("other", 4)], "k string, v int")
+    for how in ("left", "inner", "left_anti", "left_semi"):
+        plain = left.join(right, ["k"], how)
+        monkeypatch.setattr(JN, "SALT_FROM_BYTES", 0)
+        monkeypatch.setattr(JN, "SAMPLE", 0.5)
+        monkeypatch.setattr(JN, "HOT_SAMPLE_ROWS", 100)
+        assert [r.k for r in JN.hot_keys(left, ["k"]).collect()][:1] == ["hot"]
+        salted = JN.lookup(left, right, ["k"], how)
+        assert salted.columns == plain.columns
+        assert RC.same_rows(plain, salted).first().equal
+
+
+def test_whole_reconcile_is_the_same_when_salted(spark, monkeypatch):
+    i = Inputs(spark, "/root/testdata/sf0.001")
+    plain = RC.reconcile(i.discovered, i.fetched).select("seq")
+    monkeypatch.setattr(JN, "SALT_FROM_BYTES", 0)
+    monkeypatch.setattr(JN, "SAMPLE", 0.9)
+    monkeypatch.setattr(JN, "HOT_SAMPLE_ROWS", 5)
+    assert RC.same_rows(plain, RC.reconcile(i.discovered, i.fetched).select("seq")).first().equal
