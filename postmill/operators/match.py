@@ -20,15 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.text import blank_to_null, clean_text, col
-from postmill.operators.joins import lookup
+from postmill.operators.joins import SALT_FROM_BYTES, estimated_bytes, lookup
 from postmill.operators.reconcile import first_by, union_all
+from postmill.session import stage
 
 # ---- fixed values ----
 SCORES = {"apply_url": 1.0, "job_id": 1.0, "description_hash": 1.0, "title_location": 0.95}
 FUZZY_FLOOR = 0.85
 # Titles above this length are blocked by length bands instead of segments (still exact).
 SEGMENT_MAX_LENGTH = 100
-PAIR = ["company", "title", "career_title", "career_job_id"]
 
 
 def canonical_url(c: Column | str) -> Column:
@@ -41,7 +41,7 @@ def match_company(c: Column | str = "company_name") -> Column:
     return F.lower(F.trim(col(c)))
 
 
-def _title(df: DataFrame) -> Column:
+def _title() -> Column:
     return blank_to_null(F.lower(clean_text("title")))
 
 
@@ -52,22 +52,29 @@ def _keys(df: DataFrame, *keep: str) -> DataFrame:
         "apply_url": canonical_url("apply_url"),
         "job_id": blank_to_null("job_id"),
         "description_hash": F.col("description_hash"),
-        "title_location": F.when(_title(df).isNotNull(), place),
+        "title_location": F.when(_title().isNotNull(), place),
     }
     entries = F.array(
         *[F.struct(F.lit(i).alias("method"), v.alias("key")) for i, v in enumerate(values.values())]
     )
     rows = df.select(*keep, match_company().alias("company"), F.explode(entries).alias("e"))
-    return rows.select(*keep, "company", "e.method", "e.key").filter(F.col("key").isNotNull())
+    return rows.select(*keep, "company", "e.method", "e.key")
 
 
 def _exact_matches(discovered: DataFrame, career: DataFrame) -> DataFrame:
-    """Best exact match per discovered posting: (seq, method, career_job_id)."""
+    """Every discovered posting with its best exact match, if any:
+    (seq, company, title, method, career_job_id).
+    """
     index = _keys(career.withColumn("career_job_id", F.col("job_id")), "career_job_id")
+    index = index.filter(F.col("key").isNotNull())
     index = index.groupBy("company", "method", "key").agg(F.min("career_job_id").alias("career_job_id"))
-    hits = lookup(_keys(discovered, "seq"), index, ["company", "method", "key"], "inner")
-    best = hits.groupBy("seq").agg(F.min(F.struct("method", "career_job_id")).alias("b"))
-    return best.select("seq", "b.method", "b.career_job_id")
+    found = _keys(discovered.withColumn("norm_title", _title()), "seq", "norm_title")
+    hits = lookup(found, index, ["company", "method", "key"])
+    hit = F.when(F.col("career_job_id").isNotNull(), F.struct("method", "career_job_id"))
+    best = hits.groupBy("seq").agg(
+        F.min("company").alias("company"), F.min("norm_title").alias("title"), F.min(hit).alias("b")
+    )
+    return best.select("seq", "company", "title", "b.method", "b.career_job_id")
 
 
 def _max_edits(length: Column) -> Column:
@@ -91,63 +98,71 @@ def _segments(length: Column, edits: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), n), segment)
 
 
-def _segment_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Title pairs of one company that share a segment near its place."""
+def _band(length: Column) -> Column:
+    """Lengths within the fuzzy floor of each other lie in the same or neighbouring bands."""
+    return F.floor(F.log(length.cast("double")) / F.log(F.lit(1 / FUZZY_FLOOR))).cast("int")
+
+
+def _block(no: Column) -> Column:
+    return F.struct(no.alias("no"), F.lit(1).alias("start"), F.lit(0).alias("size"))
+
+
+def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Title pairs of one company that share a segment near its place or, where the career
+    title is long, lie in neighbouring length bands (length -1). One equi join.
+    """
     size = F.char_length("title")
-    index = right.filter(size <= SEGMENT_MAX_LENGTH).select(
+    is_long = size > SEGMENT_MAX_LENGTH
+    pieces = F.when(is_long, F.array(_block(_band(size)))).otherwise(_segments(size, _max_edits(size)))
+    index = right.select(
         "company",
         F.col("title").alias("career_title"),
         "career_job_id",
-        size.alias("length"),
-        F.explode(_segments(size, _max_edits(size))).alias("s"),
+        F.when(is_long, -1).otherwise(size).alias("length"),
+        F.explode(pieces).alias("s"),
     )
     index = index.select(
-        "company",
-        "career_title",
-        "career_job_id",
-        "length",
+        *[c for c in index.columns if c != "s"],
         F.col("s.no").alias("no"),
         F.substring("career_title", F.col("s.start"), F.col("s.size")).alias("piece"),
     )
-    # a partner of at most SEGMENT_MAX_LENGTH characters may itself be longer than that
+    # lengths a partner can have: short ones by segments, and long ones as a whole
     shortest = F.ceil(size * FUZZY_FLOOR - 1e-9).cast("int")
-    longest = F.least(F.floor(size / FUZZY_FLOOR + 1e-9).cast("int"), F.lit(SEGMENT_MAX_LENGTH))
-    probes = left.filter(shortest <= SEGMENT_MAX_LENGTH).select(
-        "company", "title", size.alias("own"), F.explode(F.sequence(shortest, longest)).alias("length")
+    longest = F.floor(size / FUZZY_FLOOR + 1e-9).cast("int")
+    none = F.array().cast("array<int>")
+    lengths = F.concat(
+        F.when(
+            shortest <= SEGMENT_MAX_LENGTH, F.sequence(shortest, F.least(longest, F.lit(SEGMENT_MAX_LENGTH)))
+        ).otherwise(none),
+        F.when(longest > SEGMENT_MAX_LENGTH, F.array(F.lit(-1))).otherwise(none),
     )
+    probes = left.select("company", "title", size.alias("own"), F.explode(lengths).alias("length"))
+    by_band = F.col("length") == -1
     edits = _max_edits(F.col("length"))
+    near = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: _block(_band(F.col("own")) + d))
     probes = probes.select(
-        "*", edits.alias("edits"), F.explode(_segments(F.col("length"), edits)).alias("s")
+        "*",
+        F.when(by_band, F.lit(0)).otherwise(edits).alias("edits"),
+        F.explode(F.when(by_band, near).otherwise(_segments(F.col("length"), edits))).alias("s"),
     )
     shift = F.col("own") - F.col("length")
-    no, start, piece = F.col("s.no"), F.col("s.start"), F.col("s.size")
-    first = F.greatest(
-        F.lit(1), start - (no - 1), start + shift - (F.col("edits") + 1 - no)
+    no, start, width = F.col("s.no"), F.col("s.start"), F.col("s.size")
+    rest = F.col("edits") + 1 - no
+    first = F.greatest(F.lit(1), start - (no - 1), start + shift - rest)
+    last = F.least(F.col("own") - width + 1, start + (no - 1), start + shift + rest)
+    places = (
+        F.when(by_band, F.array(F.lit(1))).when(first <= last, F.sequence(first, last)).otherwise(none)
     )
-    last = F.least(
-        F.col("own") - piece + 1, start + (no - 1), start + shift + (F.col("edits") + 1 - no)
-    )
-    places = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
     probes = probes.select(
         "company",
         "title",
         "length",
         no.alias("no"),
-        F.explode(F.transform(places, lambda p: F.substring("title", p, piece))).alias("piece"),
+        F.explode(F.transform(places, lambda p: F.substring("title", p, width))).alias("piece"),
     )
-    return probes.join(index, ["company", "length", "no", "piece"]).select(*PAIR)
-
-
-def _band_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs with a long title on the career side: equi join on neighbouring length bands."""
-    band = F.floor(F.log(F.char_length("title").cast("double")) / F.log(F.lit(1 / FUZZY_FLOOR)))
-    index = right.filter(F.char_length("title") > SEGMENT_MAX_LENGTH).select(
-        "company", F.col("title").alias("career_title"), "career_job_id", band.alias("band")
+    return probes.join(index, ["company", "length", "no", "piece"]).select(
+        "company", "title", "career_title", "career_job_id"
     )
-    near = F.explode(F.array(band - 1, band, band + 1)).alias("band")
-    # only titles long enough to reach a long partner
-    probes = left.filter(F.char_length("title") > SEGMENT_MAX_LENGTH * FUZZY_FLOOR - 1)
-    return probes.select("company", "title", near).join(index, ["company", "band"]).select(*PAIR)
 
 
 def title_score(a: Column | str, b: Column | str) -> Column:
@@ -161,7 +176,7 @@ def fuzzy_titles(left: DataFrame, right: DataFrame) -> DataFrame:
     ``left`` holds distinct (company, title), ``right`` (company, title, career_job_id) with
     one row per title.
     """
-    pairs = _segment_candidates(left, right).unionByName(_band_candidates(left, right))
+    pairs = _candidates(left, right)
     score = title_score("title", "career_title")
     scored = pairs.withColumn("score", score).filter(F.col("score") >= FUZZY_FLOOR)
     # a pair that shares several segments comes several times; the minimum does not mind
@@ -179,16 +194,16 @@ def match_duplicates(discovered: DataFrame, career: DataFrame) -> DataFrame:
     Both sides need company_name, job_id, title, location, apply_url, description_hash;
     the discovered side also a unique ``seq``.
     """
-    exact = _exact_matches(discovered, career)
-    titles = discovered.select("seq", match_company().alias("company"), _title(discovered).alias("title"))
-    joined = titles.join(exact, "seq", "left")
+    joined = _exact_matches(discovered, career)
+    if estimated_bytes(discovered) >= SALT_FROM_BYTES:
+        joined = stage(joined, "exact-matches")  # read twice below
     open_titles = (
         joined.filter(F.col("method").isNull() & F.col("title").isNotNull())
         .select("company", "title")
         .distinct()
     )
     career_titles = (
-        career.select(match_company().alias("company"), _title(career).alias("title"), "job_id")
+        career.select(match_company().alias("company"), _title().alias("title"), "job_id")
         .filter(F.col("title").isNotNull())
         .groupBy("company", "title")
         .agg(F.min("job_id").alias("career_job_id"))
@@ -232,11 +247,11 @@ def company_comparison(discovered: DataFrame, career: DataFrame, matches: DataFr
     )
 
 
-def _count_map(df: DataFrame, column: str) -> DataFrame:
+def _count_map(counts: DataFrame, column: str) -> DataFrame:
     """Counts per value as one map; the values are a small fixed domain."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    known = counts.filter(F.col(column).isNotNull()).groupBy(column).agg(F.sum("n").alias("n"))
     entries = F.sort_array(F.collect_list(F.struct(column, "n")))
-    return counts.agg(F.map_from_entries(entries).alias("m"))
+    return known.agg(F.map_from_entries(entries).alias("m"))
 
 
 def duplication_report(discovered: DataFrame, career: DataFrame, matches: DataFrame) -> DataFrame:
@@ -248,8 +263,9 @@ def duplication_report(discovered: DataFrame, career: DataFrame, matches: DataFr
         F.count("*").alias("total_analyzed"), F.count_if("is_duplicate").alias("confirmed_duplicates")
     )
     n_career = career.agg(F.count("*").alias("total_career_page_jobs"))
-    providers = _count_map(discovered.filter(F.col("ats_provider") != "unknown"), "ats_provider")
-    origins = _count_map(discovered, "job_origin")
+    counts = discovered.groupBy("ats_provider", "job_origin").agg(F.count("*").alias("n"))
+    providers = _count_map(counts.filter(F.col("ats_provider") != "unknown"), "ats_provider")
+    origins = _count_map(counts, "job_origin")
     rate = F.coalesce(F.try_divide("confirmed_duplicates", "total_analyzed"), F.lit(0.0))
     # every part is one aggregated row; stacking them and keeping what is set needs no join
     parts = [

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the jobs rely on. All are Spark defaults or size-checked by
 # Spark itself; nothing here forces a broadcast.
@@ -53,6 +53,17 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and go on from there.
+
+    For results that are read more than once: they are computed once, and a lost executor
+    costs no recomputation of what lies before.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_on_workers(module: str) -> None:
     """Send the functions of a module with each task, so executors need no installed package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

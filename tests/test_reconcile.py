@@ -179,3 +179,14 @@ def test_whole_reconcile_is_the_same_when_salted(spark, monkeypatch):
     monkeypatch.setattr(JN, "SAMPLE", 0.9)
     monkeypatch.setattr(JN, "HOT_SAMPLE_ROWS", 5)
     assert RC.same_rows(plain, RC.reconcile(i.discovered, i.fetched).select("seq")).first().equal
+
+
+def test_matches_are_the_same_when_salted_and_staged(spark, monkeypatch):
+    rows = Inputs(spark, "/root/testdata/sf0.001").view("postings").withColumn("description_hash", F.md5("description"))
+    found, career = rows.filter("source = 'linkedin'"), rows.filter("source = 'ats'")
+    plain = MT.match_duplicates(found, career)
+    for module in (JN, MT):
+        monkeypatch.setattr(module, "SALT_FROM_BYTES", 0)
+    monkeypatch.setattr(JN, "SAMPLE", 0.9)
+    monkeypatch.setattr(JN, "HOT_SAMPLE_ROWS", 3)
+    assert RC.same_rows(plain, MT.match_duplicates(found, career)).first().equal
