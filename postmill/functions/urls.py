@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -164,7 +167,7 @@ def api_base(url: Column | str) -> Column:
 
 
 def is_job_api(url: Column | str) -> Column:
-    return col(url).rlike("|".join(JOB_API_PATTERNS))
+    return any_pattern(col(url), JOB_API_PATTERNS)
 
 
 def capture_route(url: Column | str) -> Column:
@@ -185,6 +188,18 @@ def offer_slug(url: Column | str) -> Column:
     )
 
 
+def _found(c: Column, pattern: str) -> Column:
+    """Pattern occurs; a pattern without regex marks is searched as plain text, which is faster."""
+    literal = pattern.replace(r"\.", "")
+    if re.fullmatch(r"[\w/-]+", literal):
+        return c.contains(pattern.replace(r"\.", "."))
+    return c.rlike(pattern)
+
+
+def any_pattern(c: Column, patterns: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [_found(c, p) for p in patterns])
+
+
 def first_pattern(c: Column | str, patterns: dict[str, list[str]]) -> Column:
     """Label of the first entry one of whose patterns is found; the order is the priority.
 
@@ -192,7 +207,7 @@ def first_pattern(c: Column | str, patterns: dict[str, list[str]]) -> Column:
     """
     expr = F
     for label, options in patterns.items():
-        expr = expr.when(col(c).rlike("|".join(options)), label)
+        expr = expr.when(any_pattern(col(c), options), label)
     return expr.otherwise(F.lit(None).cast("string"))
 
 
