@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from postmill.functions.text import col
 
 ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+NO_SECONDS = r"([T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})$"
 
 
 def iso_timestamp(c: Column | str) -> Column:
     """ISO-8601 date or date-time, with ``Z`` or a numeric offset."""
-    return F.when(col(c).rlike(ISO_SHAPE), col(c).try_cast("timestamp"))
+    # the cast wants seconds before a zone
+    full = F.regexp_replace(col(c), NO_SECONDS, "$1:00$2")
+    return F.when(col(c).rlike(ISO_SHAPE), full.try_cast("timestamp"))
 
 
 def iso_or_day(c: Column | str) -> Column:

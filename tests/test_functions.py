@@ -130,6 +130,8 @@ CASES = [
             "2024-01-15T10:00:00+02:00": "2024-01-15 08:00:00",
             "2024-01-15T10:00:00.5Z": "2024-01-15 10:00:00",
             "2024-01-15": "2024-01-15 00:00:00",
+            "2024-01-15T10:00Z": "2024-01-15 10:00:00",
+            "2024-01-15T10:00-02:30": "2024-01-15 12:30:00",
             "2024-13-45": None,
             "soon": None,
             None: None,
