@@ -7,7 +7,17 @@ from postmill.plans.catalog import QUERIES, Inputs
 SF = "/root/testdata/sf0.001"
 # these write files or train a model while they are built
 EAGER = ("_sink", "stream_", "upsert_table", "knn_ivf")
-PYTHON = {"page_extract", "page_cards", "page_jobs_row", "page_pagination", "search_forms", "selector_usage", "html_fallback", "knn_exact"}
+PYTHON = {
+    "page_extract",
+    "page_cards",
+    "page_jobs_row",
+    "page_pagination",
+    "search_forms",
+    "selector_usage",
+    "html_fallback",
+    "knn_exact",
+    "knn_grid",
+}
 
 
 def plan(spark, name):
@@ -19,7 +29,7 @@ def plan(spark, name):
 def test_no_cross_join_and_python_only_where_declared(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert any(w in text for w in ("ArrowEvalPython", "MapInArrow")) == (name in PYTHON)
+    assert any(w in text for w in ("ArrowEvalPython", "MapInArrow", "CoGroupsInPandas")) == (name in PYTHON)
 
 
 @pytest.mark.parametrize("name", ["dedup_first_wins", "cap_per_company", "representative", "redirect_chain", "dedup_uids"])
