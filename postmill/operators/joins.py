@@ -1,11 +1,11 @@
 """Many-to-one joins that survive hot keys.
 
 AQE splits a skewed sort-merge join only when both inputs come straight from a shuffle. Here
-the looked-up side is first reduced to one row per key, and that aggregate sits between its
-shuffle and the join, so AQE would leave a key with a third of all rows to one task. Large
-lookups are therefore salted: keys that are frequent in a sample of the left side (and null
-keys, which match nothing) are spread, and the few looked-up rows of those keys repeated.
-The sample only decides what is spread; the result is the plain join's.
+the looked-up side is first reduced to one row per key, and that aggregate would sit between
+its shuffle and the join, so a key with a third of all rows would stay in one task. A large
+lookup therefore joins on one more column: it sends the reduced side through a shuffle of
+its own, which lets AQE split hot keys by their real size, and it spreads the rows without a
+key, which match nothing. The result is the plain join's.
 """
 
 from __future__ import annotations
@@ -15,10 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALT_FROM_BYTES = 16 << 30  # below this left side a hot key is no problem
-SAMPLE = 0.01
-HOT_SAMPLE_ROWS = 10_000  # about a million rows of one key
-MAX_HOT_KEYS = 1_000  # bound of the broadcast key set
+LARGE_BYTES = 16 << 30  # below this left side a hot key is no problem
 _PLAIN = {"string", "long", "integer", "short", "byte", "double", "float", "boolean", "timestamp", "date"}
 
 
@@ -27,26 +24,15 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def hot_keys(left: DataFrame, keys: list[str]) -> DataFrame:
-    """The most frequent keys of a sample, at most ``MAX_HOT_KEYS`` rows."""
-    counts = left.select(*keys).sample(SAMPLE, seed=7).groupBy(*keys).agg(F.count("*").alias("_n"))
-    top = counts.filter(F.col("_n") >= HOT_SAMPLE_ROWS).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-    return top.select(*keys, F.lit(True).alias("_hot"))
-
-
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join ``left`` with ``right``, which has at most one row per key."""
-    if estimated_bytes(left) < SALT_FROM_BYTES:
+    if estimated_bytes(left) < LARGE_BYTES:
         return left.join(right, keys, how)
-    salts = max(64, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = F.broadcast(hot_keys(left, keys))
-    # a hash of the row, not a random number: a task that is run again sends rows the same way
+    # the further join column is a function of the key, which the optimizer does not know;
+    # rows without a key get a hash of the row (no random number: a task that is run again
+    # sends its rows the same way)
     row = [f.name for f in left.schema if f.dataType.typeName() in _PLAIN]
-    spread = F.pmod(F.xxhash64(*row), F.lit(salts)).cast("int")
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    salted = left.join(hot, keys, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(0)
-    )
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(hot, keys, "left").withColumn("_salt", F.explode(every)).drop("_hot")
-    return salted.drop("_hot").join(repeated, [*keys, "_salt"], how).drop("_salt")
+    slot = F.when(no_key, F.xxhash64(*row)).otherwise(F.xxhash64(*keys))
+    looked_up = right.withColumn("_slot", F.xxhash64(*keys))
+    return left.withColumn("_slot", slot).join(looked_up, [*keys, "_slot"], how).drop("_slot")

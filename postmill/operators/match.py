@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.text import blank_to_null, clean_text, col
-from postmill.operators.joins import SALT_FROM_BYTES, estimated_bytes, lookup
+from postmill.operators.joins import LARGE_BYTES, estimated_bytes, lookup
 from postmill.operators.reconcile import first_by, union_all
 from postmill.session import stage
 
@@ -195,7 +195,7 @@ def match_duplicates(discovered: DataFrame, career: DataFrame) -> DataFrame:
     the discovered side also a unique ``seq``.
     """
     joined = _exact_matches(discovered, career)
-    if estimated_bytes(discovered) >= SALT_FROM_BYTES:
+    if estimated_bytes(discovered) >= LARGE_BYTES:
         joined = stage(joined, "exact-matches")  # read twice below
     open_titles = (
         joined.filter(F.col("method").isNull() & F.col("title").isNotNull())

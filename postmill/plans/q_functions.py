@@ -9,7 +9,7 @@ from postmill.functions import dates as D
 from postmill.functions import location as L
 from postmill.functions import text as X
 from postmill.functions import urls as U
-from postmill.operators.mappings import named_value
+from postmill.operators.mappings import Context, greenhouse, named_value, recruitee
 from postmill.plans.registry import query, stamp
 
 HOST = r"^[a-z]+://([^/?#]*\.)?{}(:[0-9]+)?([/?#]|$)"
@@ -342,8 +342,6 @@ def person_names(i):
     'https://' || company_slug || '.recruitee.com/o/o-' || payload_id || '/c/new' AS apply_url FROM payloads""",
 )
 def url_templates(i):
-    from postmill.operators.mappings import Context, greenhouse, recruitee
-
     rows = i.view("payloads").select("payload_id", "company_slug")
     made = F.format_string('{"id":%d,"title":"t","slug":"o-%d"}', "payload_id", "payload_id")
     rows = rows.withColumn("item", F.parse_json(made))

@@ -22,7 +22,7 @@ from postmill.plans.q_shapes import (
     smart_items,
 )
 from postmill.plans.registry import Inputs, query, stamp
-from postmill.schemas import FIELD_GROUPS
+from postmill.schemas import FIELD_GROUPS, POSTING
 from postmill.session import work_dir
 from postmill.sources import sinks as SK
 from postmill.sources.payloads import payload_totals
@@ -384,9 +384,6 @@ def skills_contains(i):
 
 
 def _published(i: Inputs) -> DataFrame:
-    from postmill.operators.normalize import as_schema
-    from postmill.schemas import POSTING
-
     rows = reconciled(i).withColumns(
         {
             "source_url": F.concat(F.lit("https://www.linkedin.com/jobs/view/"), F.col("seq").cast("string")),
@@ -395,7 +392,7 @@ def _published(i: Inputs) -> DataFrame:
             "extracted_at": F.lit("2024-06-01 12:00:00").cast("timestamp"),
         }
     )
-    return as_schema(rows, POSTING, "seq")
+    return N.as_schema(rows, POSTING, "seq")
 
 
 PUBLISHED = f"""{RECONCILED}, published AS (SELECT seq, job_id, title, company_name, location, apply_url, ats_provider, job_origin, 'https://www.linkedin.com/jobs/view/' || seq AS source_url,
@@ -485,7 +482,7 @@ def run_envelope(i):
 )
 def test_summary(i):
     compliant = F.col("ats_source").isNotNull() & F.col("job_id").isNotNull() & F.col("job_title").isNotNull()
-    return SK.test_summary(jobs(i), "api", compliant)
+    return SK.run_summary(jobs(i), "api", compliant)
 
 
 @query(

@@ -88,7 +88,7 @@ def example_projection(jobs: DataFrame, columns: list[str]) -> DataFrame:
     return jobs.select(*columns)
 
 
-def test_summary(jobs: DataFrame, method: str, compliant: Column) -> DataFrame:
+def run_summary(jobs: DataFrame, method: str, compliant: Column) -> DataFrame:
     """One-row summary object of a run."""
     all_ok = F.coalesce(F.bool_and(compliant), F.lit(False))
     quality = Q.extraction_quality(jobs, "job_title", "job_location", "job_url", ats_compliant=all_ok)

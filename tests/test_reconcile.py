@@ -157,36 +157,55 @@ def test_upsert_touches_only_changed_rows(spark):
     assert RC.same_rows(once, again).first().equal
 
 
-def test_salted_lookup_equals_plain_join(spark, monkeypatch):
+def test_large_lookup_equals_plain_join(spark, monkeypatch):
     rows = [(n, "hot" if n % 3 else None if n % 2 else f"k{n % 50}") for n in range(3000)]
     left = spark.createDataFrame(rows, "seq long, k string")
     right = spark.createDataFrame([("hot", 1), ("k2", 2), ("k40", 3), ("other", 4)], "k string, v int")
+    monkeypatch.setattr(JN, "LARGE_BYTES", 0)
     for how in ("left", "inner", "left_anti", "left_semi"):
         plain = left.join(right, ["k"], how)
-        monkeypatch.setattr(JN, "SALT_FROM_BYTES", 0)
-        monkeypatch.setattr(JN, "SAMPLE", 0.5)
-        monkeypatch.setattr(JN, "HOT_SAMPLE_ROWS", 100)
-        assert [r.k for r in JN.hot_keys(left, ["k"]).collect()][:1] == ["hot"]
-        salted = JN.lookup(left, right, ["k"], how)
-        assert salted.columns == plain.columns
-        assert RC.same_rows(plain, salted).first().equal
-
-
-def test_whole_reconcile_is_the_same_when_salted(spark, monkeypatch):
+        large = JN.lookup(left, right, ["k"], how)
+        assert large.columns == plain.columns
+        assert RC.same_rows(plain, large).first().equal
+
+
+def test_hot_keys_of_a_large_lookup_are_split(spark, monkeypatch):
+    """The reduced side has its own shuffle, so AQE sees and splits the hot partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    monkeypatch.setattr(JN, "LARGE_BYTES", 0)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        left = spark.range(0, 60000, 1, 16).select(
+            "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.md5(F.col("id").cast("string")).alias("pad")
+        )
+        right = left.groupBy("k").agg(F.count("*").alias("n"))
+        joined = JN.lookup(left, right, ["k"])
+        assert len(joined.collect()) == 60000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_whole_reconcile_is_the_same_when_large(spark, monkeypatch):
     i = Inputs(spark, "/root/testdata/sf0.001")
     plain = RC.reconcile(i.discovered, i.fetched).select("seq")
-    monkeypatch.setattr(JN, "SALT_FROM_BYTES", 0)
-    monkeypatch.setattr(JN, "SAMPLE", 0.9)
-    monkeypatch.setattr(JN, "HOT_SAMPLE_ROWS", 5)
+    monkeypatch.setattr(JN, "LARGE_BYTES", 0)
     assert RC.same_rows(plain, RC.reconcile(i.discovered, i.fetched).select("seq")).first().equal
 
 
-def test_matches_are_the_same_when_salted_and_staged(spark, monkeypatch):
+def test_matches_are_the_same_when_large_and_staged(spark, monkeypatch):
     rows = Inputs(spark, "/root/testdata/sf0.001").view("postings").withColumn("description_hash", F.md5("description"))
     found, career = rows.filter("source = 'linkedin'"), rows.filter("source = 'ats'")
     plain = MT.match_duplicates(found, career)
     for module in (JN, MT):
-        monkeypatch.setattr(module, "SALT_FROM_BYTES", 0)
-    monkeypatch.setattr(JN, "SAMPLE", 0.9)
-    monkeypatch.setattr(JN, "HOT_SAMPLE_ROWS", 3)
+        monkeypatch.setattr(module, "LARGE_BYTES", 0)
     assert RC.same_rows(plain, MT.match_duplicates(found, career)).first().equal
