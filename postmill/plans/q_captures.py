@@ -151,7 +151,7 @@ PAGE_SELECTORS = {
     "page_extract",
     "A10 J1 J2 J7",
     None,
-    "SELECT page_id, 0 AS card_no, regexp_replace(trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)), '&amp;?', '&', 'g') AS title FROM pages WHERE contains(html, '<article>') AND trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)) <> ''",
+    "SELECT page_id, 0 AS card_no, regexp_replace(replace(replace(replace(replace(trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)), '&quot;', chr(34)), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS title FROM pages WHERE contains(html, '<article>') AND trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)) <> ''",
 )
 def page_extract(i):
     pages = i.table("pages").select("page_id", F.col("url").alias("base_url"), "html")
