@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import os
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -29,6 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", f"{os.environ.get('TMPDIR', '/tmp')}/postmill-{os.getpid()}")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in SETTINGS.items():
@@ -39,16 +40,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """New folder for checkpoints and staged tables.
+    """New folder for checkpoints and staged tables, under a root that all executors share.
 
-    The cluster names the shared root in ``spark.checkpoint.dir``; only when it
-    is unset (tests on one machine) is a temporary root made and remembered.
+    The cluster names the root in ``spark.checkpoint.dir``. Where that is unset (tests on one
+    machine), the warehouse, which is shared as well, holds it.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="run-postmill-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
