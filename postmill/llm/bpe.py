@@ -1,9 +1,9 @@
 """Byte-pair encoding word by word: a cache over the tokenizers library, and a prefix table.
 
-A text is cut before every single space that stands between two characters that are not white
-space. The byte-level pre-tokenizer always has a border there and looks no further ahead, so the
-parts can be encoded one by one and parts seen before come from a cache. Texts that hold one of
-the vocabulary's special strings, and vocabularies of another kind, are encoded whole.
+A text is cut before every single space or line feed that stands between two characters that are
+not white space. The byte-level pre-tokenizer always has a border there and looks no further ahead,
+so the parts can be encoded one by one and parts seen before come from a cache. Texts that hold one
+of the vocabulary's special strings, and vocabularies of another kind, are encoded whole.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 import regex
@@ -19,9 +21,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs one task
 
 from tokenizers import Tokenizer  # noqa: E402
 
-CUT = re.compile(r"(?<=\S) (?=\S)")
+CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 LONGEST_CACHED = 48  # characters of a part
-CACHED = 600_000  # parts a worker remembers
+CACHED = 1_000_000  # parts a worker remembers, some 200 MB
 # The usual byte-level pattern, and the characters for which every Unicode version agrees on its
 # classes (fixed values).
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -29,7 +31,16 @@ SETTLED = "\u024f"
 
 
 class Cache(dict):
-    """Remembers the newest entries: the older half goes when it is full."""
+    """Works out what it does not know and remembers the newest: the older half goes when it is full."""
+
+    def __init__(self, make: Callable):
+        self.make = make
+
+    def __missing__(self, key):
+        got = self.make(key)
+        if len(key) <= LONGEST_CACHED:
+            self[key] = got
+        return got
 
     def room(self, limit: int = CACHED) -> None:
         if len(self) > limit:
@@ -37,6 +48,25 @@ class Cache(dict):
                 del self[key]
 
 
+def parts_of(text: str) -> list[str]:
+    """The parts of a text. The space that all but the first begin with, unless that is a line feed,
+    is left out."""
+    if " ".join(text.split()) == text.replace("\n", " "):  # single spaces and line feeds only
+        return text.replace("\n", " \n").split(" ")
+    first, *rest = CUT.split(text)
+    return [first, *[p.removeprefix(" ") for p in rest]]
+
+
+def whole(part: str) -> str:
+    """A part that is not the first, as it stands in the text."""
+    return part if part[0] == "\n" else " " + part
+
+
+def letters(text: str) -> bool:
+    """One pre-token, with or without a space before it, by every version of Unicode."""
+    return text.isalpha() and max(text) <= SETTLED
+
+
 def pre_tokens(library: Tokenizer, text: str) -> list[str]:
     if not text or max(text) <= SETTLED:
         return PATTERN.findall(text)
@@ -52,8 +82,9 @@ class Encoder:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.cuts = byte_level(spec)
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.seen = Cache()  # word after a space -> bytes of its ids
-        self.marks = Cache()  # the same for pre-tokens without a space before them
+        self.seen = Cache(self._part)  # part after the first -> bytes of its ids
+        self.first = Cache(self._text)
+        self.tokens = Cache(self._model)  # pre-token -> bytes of its ids
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch(texts, add_special_tokens=False)
@@ -61,44 +92,29 @@ class Encoder:
 
     def _model(self, pre_token: str) -> bytes:
         shown = pre_token.encode().decode("latin-1").translate(self.letters)
-        return b"".join([t.id.to_bytes(4, "little") for t in self.library.model.tokenize(shown)])
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a word after a space."""
-        got = self.seen.get(word)
-        if got is None:
-            first, *rest = [" " + word] if word.isalpha() and max(word) <= SETTLED else pre_tokens(self.library, " " + word)
-            if not rest:
-                got = self._model(first)
-            else:
-                # white space in the middle: the first pre-token may be less than the space and letters
-                got = self._word(first[1:]) if len(first) > 1 and first[0] == " " else self._model(first)
-                for token in rest:
-                    if len(token) > LONGEST_CACHED:
-                        got += self._model(token)
-                        continue
-                    ids = self.marks.get(token)
-                    if ids is None:
-                        ids = self.marks[token] = self._model(token)
-                    got += ids
-            if len(word) <= LONGEST_CACHED:
-                self.seen[word] = got
-        return got
+        return array("I", [t.id for t in self.library.model.tokenize(shown)]).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        if letters(part):
+            return self._model(" " + part)
+        return self._text(whole(part))
+
+    def _text(self, text: str) -> bytes:
+        tokens = pre_tokens(self.library, text)
+        return b"".join([self.seen[t[1:]] if t[0] == " " and letters(t[1:]) else self.tokens[t] for t in tokens])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text."""
         self.seen.room()
-        self.marks.room()
-        known, word = self.seen.get, self._word
-        cut = [self.cuts and not any(s in text for s in self.special) for text in texts]
-        parts = [CUT.split(text) if c else [text] for text, c in zip(texts, cut, strict=True)]
-        heads = self._whole([p[0] for p in parts])
+        self.first.room(CACHED // 10)
+        self.tokens.room(CACHED // 10)
         out = []
-        for head, words in zip(heads, parts, strict=True):
-            found = list(map(known, words[1:]))
-            if None in found:
-                found = [known(w) or word(w) for w in words[1:]]
-            out.append(np.frombuffer(head + b"".join(found), "<u4"))
+        for text in texts:
+            if not self.cuts or any(s in text for s in self.special):
+                out.append(np.frombuffer(self._whole([text])[0], "<u4"))
+                continue
+            first, *parts = parts_of(text)
+            out.append(np.frombuffer(self.first[first] + b"".join(map(self.seen.__getitem__, parts)), "<u4"))
         return out
 
 
@@ -159,8 +175,8 @@ class PrefixTable:
         self.right: dict[int, list[int]] = {}
         self.left: dict[int, list[int]] = {}
         self.pairs: dict[int, bool] = {}  # first token << 32 | second
-        self.seen = Cache()
-        self.marks = Cache()
+        self.seen = Cache(self._part)  # part after the first -> its steps
+        self.tokens = Cache(lambda token: signed(self._chars(token)))
         self.before = (b"", [-1], [0])  # the pre-token worked out last, its last tokens and counts
         # the vocabulary read from the last byte on: byte -> token that begins there or -1, and what may precede
         self.tree: dict[int, tuple[int, dict]] = {}
@@ -269,42 +285,34 @@ class PrefixTable:
         out[-1] = before  # nothing follows: the whole text as it stands
         return out
 
-    def _word(self, word: str) -> bytes:
-        """Steps of a word after a space."""
-        first, *rest = [" " + word] if word.isalpha() and max(word) <= SETTLED else pre_tokens(self.library, " " + word)
-        if not rest:
-            got = signed(self._chars(first))
-        elif len(rest) == 1 and rest[0] not in TWO_PARTS and rest[0].strip(SPACE) and first.strip(SPACE):
-            # a word and a mark: no white space inside, so their steps stand side by side
-            got = self.seen.get(first[1:]) or signed(self._chars(first))
-            got += self.marks.get(rest[0]) or self.marks.setdefault(rest[0], signed(self._chars(rest[0])))
-        else:
-            got = signed(self.counts(" " + word))
-        if len(word) <= LONGEST_CACHED:
-            self.seen[word] = got
-        return got
+    def _part(self, part: str) -> bytes:
+        """Steps of a part that is not the first."""
+        if letters(part):
+            return signed(self._chars(" " + part))
+        text = whole(part)
+        if "'" in part or text[-1].isspace() or len(part.split()) > 1:
+            return signed(self.counts(text))
+        # no white space inside and none of its word ends: the steps of pre-tokens stand side by side
+        tokens = pre_tokens(self.library, text)
+        return b"".join([self.seen[t[1:]] if t[0] == " " and letters(t[1:]) else self.tokens[t] for t in tokens])
 
     def steps(self, texts: list[str]) -> list[np.ndarray]:
         """By how much each character of a text changes the token count of the prefix it ends."""
         self.seen.room()
-        self.marks.room()
+        self.tokens.room(CACHED // 10)
         if len(self.pairs) > 2_000_000:
             self.pairs.clear()
-        known, word = self.seen.get, self._word
-        whole = [any(special in text for special in self.special) for text in texts]
-        parts = [[] if w else CUT.split(text) for text, w in zip(texts, whole, strict=True)]
-        for new in sorted({w for words in parts for w in words[1:]} - self.seen.keys()):
-            word(new)
-        out = []
-        for text, is_whole, words in zip(texts, whole, parts, strict=True):
-            if is_whole:
-                out.append(self._special(text))
-                continue
-            found = list(map(known, words[1:]))
-            if None in found:  # too long to be remembered
-                found = [known(w) or word(w) for w in words[1:]]
-            out.append(np.frombuffer(signed(self.counts(words[0])) + b"".join(found), np.int8))
-        return out
+        known = self.seen.__getitem__
+        cut = [None if any(s in text for s in self.special) else parts_of(text) for text in texts]
+        heads = [parts.pop(0) if parts else "" for parts in cut]
+        for part in sorted(set().union(*filter(None, cut)).difference(self.seen)):  # neighbours share their heads
+            known(part)
+        return [
+            self._special(text)
+            if parts is None
+            else np.frombuffer(signed(self.counts(head)) + b"".join(map(known, parts)), np.int8)
+            for text, head, parts in zip(texts, heads, cut, strict=True)
+        ]
 
     def _special(self, text: str) -> np.ndarray:
         """The same where special strings are in the text: each is one token once complete."""
