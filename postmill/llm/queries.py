@@ -6,8 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from postmill.llm.block_labeller import extract
 from postmill.llm.common import table
+from postmill.llm.decontaminate import leaks
+from postmill.llm.license_scan import licenses
+from postmill.llm.mixing import mix
+from postmill.llm.personal_data import find_personal_data
+from postmill.llm.quality_rules import judge
+from postmill.llm.secret_scan import find_secrets
+from postmill.llm.shingle_join import similar_documents
 from postmill.llm.token_counts import count_tokens
 from postmill.llm.token_files import encode_corpus
 
@@ -22,11 +31,128 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"))
+
+
+SQL["op7_shingle_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-
+]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM d
+), u AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s
+), links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM u AS a JOIN u AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY ALL HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))
+), reach(doc_id, other) AS (
+  SELECT x, y FROM links
+  UNION
+  SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(r.low, s.doc_id)) AS component_id
+FROM s LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id) AS r ON r.doc_id = s.doc_id
+"""
+
+
+@query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+SQL["op8_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t,
+         ('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13))::BIGINT AS h
+  FROM documents
+), s AS (
+  SELECT doc_id, source, len(regexp_extract_all(t, '[^ 	-
+]+'))::BIGINT AS size,
+         -ln((h::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+         / greatest(0.05::DOUBLE, 1::DOUBLE - 5::DOUBLE * (length(t) - length(translate(t, '#*$%&|<>', '')))::DOUBLE
+                    / greatest(length(t), 1)::DOUBLE) AS key
+  FROM d
+), w AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight
+  FROM s GROUP BY source
+), f AS (
+  SELECT *, source_size * 2::DOUBLE / weight AS full_at FROM w
+), l AS (
+  SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE
+             - coalesce(sum(source_size) OVER (ORDER BY full_at, source NULLS LAST
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE * 2::DOUBLE)
+            / ((sum(weight) OVER ()) - coalesce(sum(weight) OVER (ORDER BY full_at, source NULLS LAST
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS level
+  FROM f
+), v AS (
+  SELECT arg_min(level, full_at) FILTER (WHERE level <= full_at) AS level FROM l
+), g AS (
+  SELECT f.source, source_size, coalesce(least(source_size * 2::DOUBLE, v.level * weight), source_size * 2::DOUBLE) AS target
+  FROM f, v
+), e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM g
+)
+SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM (
+  SELECT s.doc_id, s.size, e.source_size, e.target,
+         e.epochs + CASE WHEN target - epochs * source_size > 0 AND
+           sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id NULLS FIRST, s.size
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size / 2.0::DOUBLE
+           <= target - epochs * source_size THEN 1 ELSE 0 END AS copies
+  FROM s JOIN e ON s.source IS NOT DISTINCT FROM e.source
+)
+"""
+
+
+# Files of a tree: source, language, fifty documents a directory, the first one its licence file.
+FILE_PATH = """
+concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), CAST(doc_id DIV 50 AS STRING),
+          CASE WHEN doc_id % 50 = 0 THEN 'LICENSE' ELSE concat(CAST(doc_id AS STRING), '.txt') END)
+"""
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents").withColumn("path", F.expr(FILE_PATH)))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), limit=512)
