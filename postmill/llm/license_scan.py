@@ -145,7 +145,9 @@ def scan_files(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     made: dict[str, Notices] = {}  # once per task
 
     def work(batch, texts):
-        notices = made.setdefault("", Notices(frequencies, documents, threshold)) if not made else made[""]
+        if not made:
+            made["here"] = Notices(frequencies, documents, threshold)
+        notices = made["here"]
         own, score, named = zip(*map(notices.read, texts), strict=True)
         return {
             "doc_id": batch.column("doc_id").to_pylist(),
@@ -168,7 +170,7 @@ def inherited(files: DataFrame) -> DataFrame:
     name = F.regexp_extract("path", "([^/]*)$", 1)
     holders = files.filter(F.col("own_license").isNotNull() & F.col("path").isNotNull() & name.rlike(LICENCE_FILE))
     # per directory, the highest score, then the first path
-    best = F.min_by(F.struct("own_license", "path"), F.struct(-F.col("own_score"), "path"))
+    best = F.min_by(F.struct("own_license", "path"), F.struct(-F.col("own_score"), "path", "own_license"))
     holders = holders.groupBy(F.col("dir").alias("above")).agg(best.alias("holder"))
     # every directory once, with all directories above it
     dirs = files.select("dir").filter("dir is not null").distinct()

@@ -141,9 +141,11 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM (
 """
 
 
-# Files of a tree: source, language, fifty documents a directory, the first one its licence file.
+# Files of a tree: source, language, fifty documents a directory; every fiftieth is a licence file,
+# in turn of the language's directory and of its own.
 FILE_PATH = """
-concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), CAST(doc_id DIV 50 AS STRING),
+concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'),
+          CASE WHEN doc_id % 100 <> 0 THEN CAST(doc_id DIV 50 AS STRING) END,
           CASE WHEN doc_id % 50 = 0 THEN 'LICENSE' ELSE concat(CAST(doc_id AS STRING), '.txt') END)
 """
 
