@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import shutil
 import sys
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +66,17 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, so that their Python workers can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_postmill_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="run-postmill-")  # on the driver alone; Spark serves the file
+    package = Path(__file__).resolve().parent
+    context.addPyFile(shutil.make_archive(f"{folder}/postmill", "zip", package.parent, package.name))
+    context._postmill_shipped = True
+
+
 def run_on_workers(module: str) -> None:
     """Send the functions of a module with each task, so executors need no installed package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
