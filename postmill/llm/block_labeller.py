@@ -28,9 +28,10 @@ from postmill.llm.common import pa_schema, slices
 from postmill.llm.html_blocks import Block, blocks
 from postmill.llm.page_grammar import MARK, labelled_page
 
-PATHS, WORDS = 2048, 2048  # rows of the two tables of vectors
+PATHS, WORDS = 8192, 16384  # rows of the two tables of vectors
 PATH_SIZE, WORD_SIZE, PLAIN, HIDDEN = 24, 12, 6, 24
-TRAINING_PAGES, EPOCHS, TOGETHER, RATE, SEED = 1600, 6, 32, 0.01, 7
+TRAINING_PAGES, EPOCHS, TOGETHER, RATE, SEED = 2400, 6, 32, 0.01, 7
+WORD_DECAY = 0.01
 STEP_BLOCKS = 4096  # padded blocks that are labelled together
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"
 
@@ -39,8 +40,8 @@ _path_rows = Cache(lambda path: [zlib.crc32(t.encode()) % PATHS for t in _steps(
 
 
 def _steps(path: tuple[str, ...]) -> set[str]:
-    """Parts of a path that have vectors: every tag and name, and the last tag by itself."""
-    return {*path, "last=" + (path[-1] if path else ""), "depth=" + str(min(len(path), 9))}
+    """Parts of a path that have vectors: every tag and name, every two neighbours, and the last."""
+    return {*path, *map(">".join, zip(path, path[1:])), "last=" + (path[-1] if path else ""), "depth=" + str(min(len(path), 9))}  # noqa: B905
 
 
 class Inputs:
@@ -130,7 +131,7 @@ def _learn_back(d_out: np.ndarray, x: np.ndarray, tape: list, net: dict, way: st
         grads[f"u_{way}"] += h.T @ d_z
         d_h = np.where(m, 0, d_h) + d_z @ u.T
         d_c = np.where(m, own_c * f, d_c)
-    grads[f"w_{way}"] += np.einsum("tpi,tpj->ij", x, d_ahead)
+    grads[f"w_{way}"] += x.reshape(-1, x.shape[2]).T @ d_ahead.reshape(-1, 4 * HIDDEN)
     grads[f"c_{way}"] += d_ahead.sum(axis=(0, 1))
     return d_ahead @ w.T
 
@@ -157,7 +158,8 @@ def trained(training_pages: int = TRAINING_PAGES, seed: int = SEED) -> dict[str,
     """The network; trained once per driver, in a few seconds."""
     random = np.random.default_rng(seed)
     size = PATH_SIZE + WORD_SIZE + PLAIN
-    net = {"path": random.normal(0, 0.1, (PATHS, PATH_SIZE)), "word": random.normal(0, 0.1, (WORDS, WORD_SIZE))}
+    # zeros: a name or word that no training page had says nothing
+    net = {"path": np.zeros((PATHS, PATH_SIZE)), "word": np.zeros((WORDS, WORD_SIZE))}
     for way in "fb":
         net[f"w_{way}"] = random.normal(0, size**-0.5, (size, 4 * HIDDEN))
         net[f"u_{way}"] = random.normal(0, HIDDEN**-0.5, (HIDDEN, 4 * HIDDEN))
@@ -193,6 +195,8 @@ def trained(training_pages: int = TRAINING_PAGES, seed: int = SEED) -> dict[str,
             for k, g in grads.items():
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.99 * second[k] + 0.01 * g**2
+                if k == "word":  # invented words stand in all kinds of blocks: only what returns is kept
+                    net[k] *= 1 - WORD_DECAY
                 net[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
     return net
 

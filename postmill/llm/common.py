@@ -8,8 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A word is a run of anything but space, tab, line feed, vertical tab, form feed, carriage return.
-WORD_CLASS = r"[^\x20\x09-\x0D]+"
+from postmill.session import ship_package
 
 SLICE_CHARS = 1 << 21  # texts that one step of a Python task handles together
 
@@ -58,7 +57,8 @@ def map_texts(
 
 
 def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:
-    """Arrow schema of a DDL string of plain types."""
+    """Arrow schema of a DDL string of plain types; the workers that use it get this package."""
+    ship_package(spark)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

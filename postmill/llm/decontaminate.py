@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.common import pa_schema, slices, texts_of
+from postmill.session import ship_package
 
 MASKS = [(0, 1, 3, 6, 7), (0, 1, 3, 4, 5), (0, 1, 2, 8, 9), (0, 1, 2, 3, 4)]
 WINDOW = 13
@@ -166,6 +167,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS)
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents in which no item leaks, all their columns as they are."""
+    ship_package(docs.sparkSession)
 
     def drop(block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -103,6 +103,9 @@ class Page:
         return out
 
     def other(self, kind: str) -> str:
+        if self.plain_names and kind in ("ad", "notice", "comments", "share", "side"):
+            # without names only the tag can say that this is beside the text
+            return f"<aside>{self.links(kind) if self.chance(0.5) else self.said(kind)}</aside>" if kind == "side" else ""
         if kind == "menu":
             return self.element(kind, ["nav", "nav", "div", "ul"], self.links(kind))
         if kind == "header":
@@ -151,10 +154,10 @@ class Page:
                 parts.append(f"<table><tr>{row}</tr></table>")
             else:
                 parts.append(f"<pre>{self.prose(True)}</pre>")
-        for kind, p in (("ad", 0.2), ("form", 0.1), ("side", 0.15), ("share", 0.12), ("notice", 0.1)):
+        for kind, p in (("ad", 0.25), ("form", 0.2), ("side", 0.2), ("share", 0.15), ("notice", 0.15)):
             if self.chance(p):
                 parts.insert(int(self.random.integers(1, len(parts) + 1)), self.other(kind))
-        if self.chance(0.12):
+        if self.chance(0.15):
             parts.append(self.other("comments"))
         inside = "".join(parts)
         form = self.random.random()
