@@ -82,13 +82,15 @@ def apply_url_map(captures: DataFrame) -> DataFrame:
 
 
 def redirect_chains(log: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
-    """Ordered distinct URLs per start URL, start first, at most ``max_hops`` hops.
+    """Ordered distinct URLs per crawl and start URL, start first, at most ``max_hops`` hops.
 
-    The hop limit is applied before the hops are collected, so each list is bounded.
+    A navigation belongs to one crawl, so the hop limit holds there. It is applied before the
+    hops are collected, so each list is bounded.
     """
-    hops = log.filter(F.col("redirected_from").isNotNull()).select("redirected_from", "seq", "url")
-    first = first_by(hops, ["redirected_from"], ["seq"], max_hops)
-    chain = F.sort_array(F.collect_list(F.struct("seq", "url")))
-    return first.groupBy(F.col("redirected_from").alias("start_url")).agg(
-        F.array_distinct(F.concat(F.array(F.first("redirected_from")), chain.getField("url"))).alias("chain")
+    start = ["crawl_id", "redirected_from"]
+    hops = log.filter(F.col("redirected_from").isNotNull()).select(*start, "seq", "url")
+    first = first_by(hops, start, ["seq"], max_hops)
+    chain = F.sort_array(F.collect_list(F.struct("seq", "url"))).getField("url")
+    return first.groupBy("crawl_id", F.col("redirected_from").alias("start_url")).agg(
+        F.array_distinct(F.concat(F.array(F.first("redirected_from")), chain)).alias("chain")
     )

@@ -2,10 +2,10 @@
 
 AQE splits a skewed sort-merge join only when both inputs come straight from a shuffle. Here
 the looked-up side is first reduced to one row per key, and that aggregate would sit between
-its shuffle and the join, so a key with a third of all rows would stay in one task. A large
-lookup therefore joins on one more column: it sends the reduced side through a shuffle of
-its own, which lets AQE split hot keys by their real size, and it spreads the rows without a
-key, which match nothing. The result is the plain join's.
+its shuffle and the join, so a key with a third of all rows would stay in one task. The join
+therefore takes one more column: it sends the reduced side through a shuffle of its own, which
+lets AQE split hot keys by their real size, and it spreads the rows without a key, which match
+nothing. The result is the plain join's. Spark still broadcasts a side that it finds small.
 """
 
 from __future__ import annotations
@@ -15,19 +15,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LARGE_BYTES = 16 << 30  # below this left side a hot key is no problem
 _PLAIN = {"string", "long", "integer", "short", "byte", "double", "float", "boolean", "timestamp", "date"}
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join ``left`` with ``right``, which has at most one row per key."""
-    if estimated_bytes(left) < LARGE_BYTES:
-        return left.join(right, keys, how)
     # the further join column is a function of the key, which the optimizer does not know;
     # rows without a key get a hash of the row (no random number: a task that is run again
     # sends its rows the same way)

@@ -20,15 +20,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.text import blank_to_null, clean_text, col
-from postmill.operators.joins import LARGE_BYTES, estimated_bytes, lookup
+from postmill.operators.joins import lookup
 from postmill.operators.reconcile import first_by, union_all
 from postmill.session import stage
 
 # ---- fixed values ----
 SCORES = {"apply_url": 1.0, "job_id": 1.0, "description_hash": 1.0, "title_location": 0.95}
 FUZZY_FLOOR = 0.85
-# Titles above this length are blocked by length bands instead of segments (still exact).
-SEGMENT_MAX_LENGTH = 100
 
 
 def canonical_url(c: Column | str) -> Column:
@@ -98,71 +96,47 @@ def _segments(length: Column, edits: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), n), segment)
 
 
-def _band(length: Column) -> Column:
-    """Lengths within the fuzzy floor of each other lie in the same or neighbouring bands."""
-    return F.floor(F.log(length.cast("double")) / F.log(F.lit(1 / FUZZY_FLOOR))).cast("int")
-
-
-def _block(no: Column) -> Column:
-    return F.struct(no.alias("no"), F.lit(1).alias("start"), F.lit(0).alias("size"))
-
-
 def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Title pairs of one company that share a segment near its place or, where the career
-    title is long, lie in neighbouring length bands (length -1). One equi join.
+    """Distinct title pairs of one company that share a segment near its place.
+
+    A title is probed only with lengths that the company has, whatever its own.
     """
     size = F.char_length("title")
-    is_long = size > SEGMENT_MAX_LENGTH
-    pieces = F.when(is_long, F.array(_block(_band(size)))).otherwise(_segments(size, _max_edits(size)))
     index = right.select(
         "company",
         F.col("title").alias("career_title"),
-        "career_job_id",
-        F.when(is_long, -1).otherwise(size).alias("length"),
-        F.explode(pieces).alias("s"),
+        size.alias("length"),
+        F.explode(_segments(size, _max_edits(size))).alias("s"),
     )
     index = index.select(
-        *[c for c in index.columns if c != "s"],
+        "company",
+        "career_title",
+        "length",
         F.col("s.no").alias("no"),
         F.substring("career_title", F.col("s.start"), F.col("s.size")).alias("piece"),
     )
-    # lengths a partner can have: short ones by segments, and long ones as a whole
     shortest = F.ceil(size * FUZZY_FLOOR - 1e-9).cast("int")
     longest = F.floor(size / FUZZY_FLOOR + 1e-9).cast("int")
-    none = F.array().cast("array<int>")
-    lengths = F.concat(
-        F.when(
-            shortest <= SEGMENT_MAX_LENGTH, F.sequence(shortest, F.least(longest, F.lit(SEGMENT_MAX_LENGTH)))
-        ).otherwise(none),
-        F.when(longest > SEGMENT_MAX_LENGTH, F.array(F.lit(-1))).otherwise(none),
-    )
-    probes = left.select("company", "title", size.alias("own"), F.explode(lengths).alias("length"))
-    by_band = F.col("length") == -1
+    probes = left.select("company", "title", size.alias("own"), F.explode(F.sequence(shortest, longest)).alias("length"))
+    there = right.select("company", size.alias("length")).distinct()
+    probes = lookup(probes, there, ["company", "length"], "inner")
     edits = _max_edits(F.col("length"))
-    near = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: _block(_band(F.col("own")) + d))
-    probes = probes.select(
-        "*",
-        F.when(by_band, F.lit(0)).otherwise(edits).alias("edits"),
-        F.explode(F.when(by_band, near).otherwise(_segments(F.col("length"), edits))).alias("s"),
-    )
+    probes = probes.select("*", edits.alias("edits"), F.explode(_segments(F.col("length"), edits)).alias("s"))
     shift = F.col("own") - F.col("length")
     no, start, width = F.col("s.no"), F.col("s.start"), F.col("s.size")
     rest = F.col("edits") + 1 - no
     first = F.greatest(F.lit(1), start - (no - 1), start + shift - rest)
     last = F.least(F.col("own") - width + 1, start + (no - 1), start + shift + rest)
-    places = (
-        F.when(by_band, F.array(F.lit(1))).when(first <= last, F.sequence(first, last)).otherwise(none)
-    )
+    none = F.array().cast("array<int>")
+    places = F.when(first <= last, F.sequence(first, last)).otherwise(none)
     probes = probes.select(
         "company",
         "title",
         "length",
         no.alias("no"),
-        F.explode(F.transform(places, lambda p: F.substring("title", p, width))).alias("piece"),
-    )
-    return probes.join(index, ["company", "length", "no", "piece"]).select(
-        "company", "title", "career_title", "career_job_id"
+        F.explode(F.array_distinct(F.transform(places, lambda p: F.substring("title", p, width)))).alias("piece"),
     )
+    return probes.join(index, ["company", "length", "no", "piece"]).select("company", "title", "career_title").distinct()
 
 
 def title_score(a: Column | str, b: Column | str) -> Column:
@@ -177,9 +151,13 @@ def fuzzy_titles(left: DataFrame, right: DataFrame) -> DataFrame:
     one row per title.
     """
     pairs = _candidates(left, right)
-    score = title_score("title", "career_title")
-    scored = pairs.withColumn("score", score).filter(F.col("score") >= FUZZY_FLOOR)
-    # a pair that shares several segments comes several times; the minimum does not mind
+    # the distance is worked out only as far as the floor allows
+    longer = F.greatest(F.char_length("title"), F.char_length("career_title"))
+    pairs = pairs.withColumn("most", F.floor(longer * (1 - FUZZY_FLOOR) + 1e-9).cast("int"))
+    pairs = pairs.withColumn("edits", F.expr("levenshtein(title, career_title, most)")).filter("edits >= 0")
+    scored = pairs.select("company", "title", "career_title", (1 - F.col("edits") / longer).alias("score"))
+    ids = right.withColumnRenamed("title", "career_title")
+    scored = lookup(scored.filter(F.col("score") >= FUZZY_FLOOR), ids, ["company", "career_title"], "inner")
     top = scored.groupBy("company", "title").agg(
         F.min(F.struct((-F.col("score")).alias("minus"), "career_job_id")).alias("b")
     )
@@ -194,9 +172,7 @@ def match_duplicates(discovered: DataFrame, career: DataFrame) -> DataFrame:
     Both sides need company_name, job_id, title, location, apply_url, description_hash;
     the discovered side also a unique ``seq``.
     """
-    joined = _exact_matches(discovered, career)
-    if estimated_bytes(discovered) >= LARGE_BYTES:
-        joined = stage(joined, "exact-matches")  # read twice below
+    joined = stage(_exact_matches(discovered, career), "exact-matches")  # read twice below
     open_titles = (
         joined.filter(F.col("method").isNull() & F.col("title").isNotNull())
         .select("company", "title")

@@ -9,7 +9,7 @@ from postmill.operators import joins as JN
 from postmill.operators import match as MT
 from postmill.operators import reconcile as RC
 from postmill.operators.upsert import upsert
-from postmill.plans.catalog import Inputs
+from postmill.plans.catalog import QUERIES, Inputs
 
 POSTS = "seq long, company_name string, job_id string, title string, apply_url string"
 LEVER = "https://jobs.lever.co/x/1"
@@ -18,22 +18,22 @@ LEVER = "https://jobs.lever.co/x/1"
 def test_mixed_companies(spark):
     found = spark.createDataFrame(
         [
-            (1, "Big Corp", "1", "a", LEVER),
-            (2, "Cool Startup", "2", "b", None),
-            (3, "Tech Inc", "3", "c", LEVER),
-            (4, "Small Co", "4", "d", "https://www.linkedin.com/jobs/view/4"),
-            (5, "BIG CORP", "9", "native too", None),
+            (1, "Harbour Bakery", "1", "a", LEVER),
+            (2, "Tin Workshop", "2", "b", None),
+            (3, "North Mills", "3", "c", LEVER),
+            (4, "Quay Books", "4", "d", "https://www.linkedin.com/jobs/view/4"),
+            (5, "HARBOUR BAKERY", "9", "native too", None),
         ],
         POSTS,
     )
-    fetched = spark.createDataFrame([(6, "big corp", "f1", "x", LEVER), (7, "big corp", "9", "dup of native", LEVER)], POSTS)
+    fetched = spark.createDataFrame([(6, "harbour bakery", "f1", "x", LEVER), (7, "harbour bakery", "9", "dup of native", LEVER)], POSTS)
     kept = {r.seq: r.job_origin for r in RC.reconcile(found, fetched).collect()}
     assert kept == {2: "LINKEDIN_NATIVE", 3: "ATS", 4: "LINKEDIN_NATIVE", 5: "LINKEDIN_NATIVE", 6: "ATS"}
     assert RC.reconcile(found, fetched, 1).count() == 5
 
 
 def test_dedup_first_wins_and_is_idempotent(spark):
-    rows = spark.createDataFrame([(2, "Company", "123", "b", None), (1, "COMPANY", "123", "a", None), (3, "Other", "123", "c", None)], POSTS)
+    rows = spark.createDataFrame([(2, "Salt Works", "j7", "b", None), (1, "SALT WORKS", "j7", "a", None), (3, "Lime Kiln", "j7", "c", None)], POSTS)
     once = RC.dedup_first_wins(rows, ["seq"])
     assert sorted(r.seq for r in once.collect()) == [1, 3]
     twice = RC.dedup_first_wins(once.drop("company_key"), ["seq"])
@@ -131,10 +131,22 @@ def test_block_keeps_partial_rows(spark):
 
 
 def test_redirect_chain_limit(spark):
-    rows = [("https://s", n, f"https://u/{n % 30}", 200) for n in range(40)]
-    log = spark.createDataFrame(rows, "redirected_from string, seq long, url string, status int")
-    chain = CR.redirect_chains(log).first().chain
-    assert chain == ["https://s"] + [f"https://u/{n}" for n in range(10)]
+    rows = [(c, "https://s", n, f"https://u{c}/{n % 30}", 200) for n in range(40) for c in (1, 2)]
+    log = spark.createDataFrame(rows, "crawl_id long, redirected_from string, seq long, url string, status int")
+    chains = {r.crawl_id: r.chain for r in CR.redirect_chains(log).collect()}
+    assert chains == {c: ["https://s"] + [f"https://u{c}/{n}" for n in range(10)] for c in (1, 2)}
+
+
+def test_candidates_per_title_stay_bounded(spark):
+    """50,000 titles of one company: probes grow with the length of a title, not with the company."""
+    titles = spark.range(50_000).select(F.lit("c").alias("company"), F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 40).alias("title"), F.col("id").cast("string").alias("career_job_id"))
+    near = titles.select("company", F.concat(F.substring("title", 1, 20), F.lit("#"), F.substring("title", 22, 30)).alias("title")).limit(500)
+    pairs = MT._candidates(near, titles)
+    assert pairs.count() < 3 * 500
+    assert MT.fuzzy_titles(near, titles).count() == 500
+    long = [("c", "".join(chr(97 + (n * k) % 26) for k in range(120))) for n in range(1, 200)]
+    both = spark.createDataFrame(long, "company string, title string").withColumn("career_job_id", F.col("title"))
+    assert MT._candidates(both.select("company", "title"), both).count() < len(long) ** 2 / 4
 
 
 def test_upsert_touches_only_changed_rows(spark):
@@ -146,22 +158,21 @@ def test_upsert_touches_only_changed_rows(spark):
         [("s", "c", "1", "new"), ("s", "c", "2", None), ("s", "c", "3", "added")], "ats_source string, company_slug string, job_id string, job_title string"
     )
     now = F.lit("2024-05-05").cast("timestamp")
-    once = upsert(current, batch, now)
+    once = upsert(current, batch, now, ["job_title"])
     rows = {r.job_id: (r.job_title, r.job_status, str(r.created_at)[:10], str(r.updated_at)[:10]) for r in once.collect()}
     assert rows == {
         "1": ("new", "active", "2024-01-01", "2024-05-05"),
         "2": (None, "expired", "2024-01-01", "2024-01-01"),
         "3": ("added", "active", "2024-05-05", "2024-05-05"),
     }
-    again = upsert(once, batch, F.lit("2024-06-06").cast("timestamp"))
+    again = upsert(once, batch, F.lit("2024-06-06").cast("timestamp"), ["job_title"])
     assert RC.same_rows(once, again).first().equal
 
 
-def test_large_lookup_equals_plain_join(spark, monkeypatch):
+def test_lookup_equals_plain_join(spark):
     rows = [(n, "hot" if n % 3 else None if n % 2 else f"k{n % 50}") for n in range(3000)]
     left = spark.createDataFrame(rows, "seq long, k string")
     right = spark.createDataFrame([("hot", 1), ("k2", 2), ("k40", 3), ("other", 4)], "k string, v int")
-    monkeypatch.setattr(JN, "LARGE_BYTES", 0)
     for how in ("left", "inner", "left_anti", "left_semi"):
         plain = left.join(right, ["k"], how)
         large = JN.lookup(left, right, ["k"], how)
@@ -169,7 +180,7 @@ def test_large_lookup_equals_plain_join(spark, monkeypatch):
         assert RC.same_rows(plain, large).first().equal
 
 
-def test_hot_keys_of_a_large_lookup_are_split(spark, monkeypatch):
+def test_hot_keys_of_a_lookup_are_split(spark):
     """The reduced side has its own shuffle, so AQE sees and splits the hot partition."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -179,7 +190,6 @@ def test_hot_keys_of_a_large_lookup_are_split(spark, monkeypatch):
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
     before = {k: spark.conf.get(k) for k in settings}
-    monkeypatch.setattr(JN, "LARGE_BYTES", 0)
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
@@ -195,17 +205,22 @@ def test_hot_keys_of_a_large_lookup_are_split(spark, monkeypatch):
             spark.conf.set(k, v)
 
 
-def test_whole_reconcile_is_the_same_when_large(spark, monkeypatch):
-    i = Inputs(spark, "/root/testdata/sf0.001")
-    plain = RC.reconcile(i.discovered, i.fetched).select("seq")
-    monkeypatch.setattr(JN, "LARGE_BYTES", 0)
-    assert RC.same_rows(plain, RC.reconcile(i.discovered, i.fetched).select("seq")).first().equal
-
-
-def test_matches_are_the_same_when_large_and_staged(spark, monkeypatch):
-    rows = Inputs(spark, "/root/testdata/sf0.001").view("postings").withColumn("description_hash", F.md5("description"))
-    found, career = rows.filter("source = 'linkedin'"), rows.filter("source = 'ats'")
-    plain = MT.match_duplicates(found, career)
-    for module in (JN, MT):
-        monkeypatch.setattr(module, "LARGE_BYTES", 0)
-    assert RC.same_rows(plain, MT.match_duplicates(found, career)).first().equal
+def test_hot_company_of_a_registered_query_is_split(spark):
+    """Supersede joins a hot company to its feed; the plan that ran shows the split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = QUERIES["supersede"].run(Inputs(spark, "/root/testdata/sf0.01"))
+        rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
