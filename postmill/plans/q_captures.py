@@ -103,13 +103,13 @@ def partial_before_block(i):
     "redirect_chain",
     "G12 H3",
     ["capture_log"],
-    """SELECT start_url, array_to_string(list_filter(chain, lambda x, i: list_position(chain, x) = i), ' > ') AS chain, len(list_distinct(chain)) AS n_urls FROM (
-      SELECT start_url, list_concat([start_url], list(url ORDER BY seq)) AS chain FROM (SELECT redirected_from AS start_url, seq, url, row_number() OVER (PARTITION BY redirected_from ORDER BY seq) AS rn
-      FROM capture_log WHERE redirected_from IS NOT NULL) WHERE rn <= 10 GROUP BY 1)""",
+    """SELECT crawl_id, start_url, array_to_string(list_filter(chain, lambda x, i: list_position(chain, x) = i), ' > ') AS chain, len(list_distinct(chain)) AS n_urls FROM (
+      SELECT crawl_id, start_url, list_concat([start_url], list(url ORDER BY seq)) AS chain FROM (SELECT crawl_id, redirected_from AS start_url, seq, url, row_number() OVER (PARTITION BY crawl_id, redirected_from ORDER BY seq) AS rn
+      FROM capture_log WHERE redirected_from IS NOT NULL) WHERE rn <= 10 GROUP BY 1, 2)""",
 )
 def redirect_chain(i):
     rows = CR.redirect_chains(i.view("capture_log"))
-    return rows.select("start_url", F.array_join("chain", " > ").alias("chain"), F.size("chain").cast("bigint").alias("n_urls"))
+    return rows.select("crawl_id", "start_url", F.array_join("chain", " > ").alias("chain"), F.size("chain").cast("bigint").alias("n_urls"))
 
 
 # ---- HTML pages ----
@@ -400,13 +400,12 @@ def stream_ingest(i):
     "stream_dedup",
     "K2",
     ["postings"],
-    "SELECT DISTINCT lower(company_name) AS company_key, job_id FROM postings",
+    "SELECT lower(company_name) AS company_key, job_id, min(seq) AS seq FROM postings GROUP BY ALL",
 )
 def stream_dedup(i):
     out, check = work_dir(i.spark, "dedup"), work_dir(i.spark, "dedup-checkpoint")
-    rows = _stream(i, "postings").select("company_name", "job_id", F.timestamp_millis("created_at_ms").alias("ts"))
-    ST.stream_dedup(rows, out, check, "3650 days").awaitTermination()
-    return i.spark.read.parquet(out).select("company_key", "job_id")
+    ST.stream_dedup(_stream(i, "postings").select("company_name", "job_id", "seq"), out, check, ["seq"]).awaitTermination()
+    return i.spark.read.parquet(out).select("company_key", "job_id", "seq")
 
 
 @query("stream_block_latch", "K3 G8", ["capture_log"], LATCH)
@@ -414,7 +413,7 @@ def stream_block_latch(i):
     out, check = work_dir(i.spark, "latched"), work_dir(i.spark, "latch-checkpoint")
     latches = work_dir(i.spark, "latches")
     ST.stream_block_latch(_stream(i, "capture_log"), out, latches, check).awaitTermination()
-    return i.spark.read.parquet(f"{out}/batch=*").select("crawl_id", "seq")
+    return ST.latched(i.spark, out, latches).select("crawl_id", "seq")
 
 
 @query("stream_upsert", "K4 A15 L7", ["postings"], f"WITH {UPSERTED}")

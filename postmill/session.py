@@ -10,7 +10,9 @@ import uuid
 from pathlib import Path
 
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Runtime settings the jobs rely on. All are Spark defaults or size-checked by
 # Spark itself; nothing here forces a broadcast.
@@ -66,6 +68,23 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def read_if_there(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """A Parquet table, or no rows where the path does not exist; any other trouble is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as trouble:
+        if trouble.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder from whatever store holds it."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context.hadoopConfiguration()).delete(folder, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, so that their Python workers can import it."""
     context = spark.sparkContext
