@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postmill.functions import urls as U
 from postmill.functions import variants as V
-from postmill.functions.text import col
+from postmill.sources.payloads import parse_body
 
 # ---- fixed values ----
 JSON_TYPE = "application/json"
@@ -36,11 +36,10 @@ def offer_captures(log: DataFrame) -> DataFrame:
     ).filter(F.col("route").isNotNull())
 
 
-def job_entities(body: Column | str) -> Column:
-    """Job objects in a discovery response: ``included`` entities, then ``elements``,
+def job_entities(v: Column) -> Column:
+    """Job objects in a parsed discovery response: ``included`` entities, then ``elements``,
     then the values under ``data.*job*``; duplicates are kept.
     """
-    v = V.parse(col(body))
     none = F.array().cast("array<variant>")
 
     def is_job(x: Column) -> Column:
@@ -67,11 +66,12 @@ def job_entities(body: Column | str) -> Column:
 def scan_job_entities(captures: DataFrame) -> DataFrame:
     """Capture rows -> one row per job entity (``item``, ``item_pos``)."""
     rest = [c for c in captures.columns if c != "body"]
-    return captures.select(*rest, F.posexplode(job_entities("body")).alias("item_pos", "item"))
+    parsed = parse_body(captures)
+    return parsed.select(*rest, F.posexplode(job_entities(F.col("parsed"))).alias("item_pos", "item"))
 
 
 def scan_included(captures: DataFrame) -> DataFrame:
     """Capture rows -> one row per object of ``included[]``."""
     rest = [c for c in captures.columns if c != "body"]
-    included = V.objects(V.parse("body"), "$.included")
-    return captures.select(*rest, F.posexplode(included).alias("item_pos", "item"))
+    included = V.objects(F.col("parsed"), "$.included")
+    return parse_body(captures).select(*rest, F.posexplode(included).alias("item_pos", "item"))

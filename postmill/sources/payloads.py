@@ -27,18 +27,28 @@ def posting_array(
     return expr.otherwise(F.lit(None).cast("array<variant>"))
 
 
+def parse_body(df: DataFrame) -> DataFrame:
+    """``body`` as VARIANT in ``parsed``, null where it is not JSON.
+
+    It goes through a generator of one row: the optimizer copies expressions over a projection
+    and under a filter, but not through a generator, so each body is parsed once.
+    """
+    rest = [c for c in df.columns if c != "body"]
+    return df.select(*rest, F.explode(F.array(V.parse("body"))).alias("parsed"))
+
+
 def scan_payloads(df: DataFrame, providers: dict[str, Provider] = PROVIDERS) -> DataFrame:
     """Payload rows -> one row per posting (``item`` VARIANT, ``item_pos``), list order kept."""
     rest = [c for c in df.columns if c != "body"]
-    items = posting_array("provider", V.parse("body"), providers)
-    out = df.select(*rest, F.posexplode(items).alias("item_pos", "item"))
+    items = posting_array("provider", F.col("parsed"), providers)
+    out = parse_body(df).select(*rest, F.posexplode(items).alias("item_pos", "item"))
     return out.filter(V.is_object(F.col("item")))
 
 
 def payload_totals(df: DataFrame, providers: dict[str, Provider] = PROVIDERS) -> DataFrame:
     """Per payload: readable or not, postings on the page, total announced by the provider."""
     rest = [c for c in df.columns if c != "body"]
-    parsed = df.select(*rest, V.parse("body").alias("parsed"))
+    parsed = parse_body(df)
     n = F.coalesce(F.size(posting_array("provider", F.col("parsed"), providers)), F.lit(0))
     return parsed.select(
         *rest,
@@ -56,7 +66,7 @@ def scan_details(df: DataFrame) -> DataFrame:
     A list-typed detail stands for its first element.
     """
     rest = [c for c in df.columns if c != "body"]
-    parsed = df.select(*rest, V.parse("body").alias("parsed"))
+    parsed = parse_body(df)
     as_list = V.array(F.col("parsed"))
     first = F.get(as_list, F.lit(0))
     return parsed.select(

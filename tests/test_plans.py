@@ -37,6 +37,12 @@ def test_first_wins_is_reduced_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan(spark, name)
 
 
+@pytest.mark.parametrize(("name", "scans"), [("job_entities", 1), ("norm_discovery", 1), ("norm_greenhouse", 1), ("payload_totals", 1), ("detail_overlay", 2), ("norm_recruitee", 2)])
+def test_bodies_are_parsed_once(spark, name, scans):
+    text = QUERIES[name].run(Inputs(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert text.lower().count("parsejson") == scans
+
+
 def test_columns_are_pruned(spark):
     assert "ReadSchema: struct<doc_id:bigint>" in plan(spark, "flagship_provider_distribution")
     assert "text" not in plan(spark, "queue_company").split("ReadSchema")[1]
