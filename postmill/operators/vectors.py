@@ -1,31 +1,31 @@
 """Cosine top-k over embedding columns, exact and with inverted lists.
 
-Queries are few (a search request); their matrix travels to the tasks only after
-its size is checked. Each task keeps its own top-k per query, so the shuffle carries
-tasks x queries x k rows whatever the table's size. Larger query sets are spread
-over a grid of bounded blocks instead.
+Queries are taken in blocks of a fixed size, one pass over the vectors each; the matrix of a
+block travels to the tasks. Each task scores its rows batch by batch and keeps its own top-k
+per query, so memory is bounded and the shuffle carries tasks x queries x k rows, whatever
+the table's size. A query meets the vectors of its own length only; all forms agree on that.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
-from postmill.session import run_on_workers
+from postmill.session import run_on_workers, stage
 
 run_on_workers(__name__)
 
 
-MAX_QUERY_VALUES = 4_000_000  # values of the query matrix sent to every task (32 MB)
-QUERY_BLOCK = 2_048
-DATA_BLOCK = 200_000
+QUERY_BLOCK = 2_048  # queries of one pass
 # ---- fixed value ----
 DEFAULT_LISTS = 100
 
@@ -55,38 +55,49 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _partial_top(qids: np.ndarray, qmat: np.ndarray, k: int, allowed: np.ndarray | None = None):
-    """mapInArrow body: one running top-k per query and task."""
+Block = list[tuple[np.ndarray, np.ndarray, np.ndarray | None]]
+
+
+def _partial_top(block: Block, k: int):
+    """mapInArrow body: one running top-k per query and task.
+
+    ``block`` has, for each vector length, query ids, their unit matrix and, for inverted
+    lists, which lists each query may see.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [(np.empty(0), np.empty(0, np.int64)) for _ in qids]
-        floor = np.full(len(qids), -np.inf)  # score a row must reach to matter to a query
+        best = [[(np.empty(0), np.empty(0, np.int64)) for _ in qids] for qids, _, _ in block]
+        floors = [np.full(len(qids), -np.inf) for qids, _, _ in block]  # what a row must reach to matter
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column("id").to_numpy()
-            scores = _unit(_matrix(batch.column("vec"))) @ qmat.T
-            hits = scores >= floor
-            if allowed is not None:
-                hits &= allowed[:, batch.column("list_id").to_numpy()].T
-            for q in np.flatnonzero(hits.any(axis=0)):
-                rows = np.flatnonzero(hits[:, q])
-                s = np.concatenate([best[q][0], scores[rows, q]])
-                i = np.concatenate([best[q][1], ids[rows]])
-                top = _top(s, i, k)
-                best[q] = (s[top], i[top])
-                if len(top) == k:
-                    floor[q] = best[q][0][-1]
-        counts = [len(b[0]) for b in best]
-        if sum(counts):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(qids, counts), pa.int64()),
-                    pa.array(np.concatenate([b[1] for b in best]), pa.int64()),
-                    pa.array(np.concatenate([b[0] for b in best]), pa.float64()),
-                ],
-                names=["query_id", "id", "similarity"],
-            )
+            sizes = pc.list_value_length(batch.column("vec")).to_numpy()
+            for own, floor, (_, qmat, allowed) in zip(best, floors, block, strict=True):
+                fit = batch.filter(pa.array(sizes == qmat.shape[1]))
+                if not fit.num_rows:
+                    continue
+                ids = fit.column("id").to_numpy()
+                scores = _unit(_matrix(fit.column("vec"))) @ qmat.T
+                hits = scores >= floor
+                if allowed is not None:
+                    hits &= allowed[:, fit.column("list_id").to_numpy()].T
+                for q in np.flatnonzero(hits.any(axis=0)):
+                    rows = np.flatnonzero(hits[:, q])
+                    s = np.concatenate([own[q][0], scores[rows, q]])
+                    i = np.concatenate([own[q][1], ids[rows]])
+                    top = _top(s, i, k)
+                    own[q] = (s[top], i[top])
+                    if len(top) == k:
+                        floor[q] = own[q][0][-1]
+        for own, (qids, _, _) in zip(best, block, strict=True):
+            counts = [len(b[0]) for b in own]
+            if sum(counts):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.repeat(qids, counts), pa.int64()),
+                        pa.array(np.concatenate([b[1] for b in own]), pa.int64()),
+                        pa.array(np.concatenate([b[0] for b in own]), pa.float64()),
+                    ],
+                    names=["query_id", "id", "similarity"],
+                )
 
     return run
 
@@ -99,29 +110,23 @@ def _rank(partial: DataFrame, k: int) -> DataFrame:
 SCHEMA = "query_id bigint, id bigint, similarity double"
 
 
-def _collect_queries(queries: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """Query ids and unit matrix, or None when they exceed the bound."""
-    size = queries.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("vec")), F.lit(0)).alias("d")).first()
-    if size["n"] * size["d"] > MAX_QUERY_VALUES or size["n"] > QUERY_BLOCK:
-        return None
-    rows = queries.orderBy("id").collect()
-    qids = np.array([r["id"] for r in rows], np.int64)
-    qmat = np.array([r["vec"] for r in rows], np.float64).reshape(len(rows), -1)
-    return qids, _unit(qmat)
-
-
-def knn(df: DataFrame, id_col: str, vec_col: str, queries: DataFrame, query_id: str, query_vec: str, k: int) -> DataFrame:
-    """Exact cosine top-k: (query_id, id, similarity, rank), ties by id."""
-    q = _clean(queries, query_id, query_vec)
-    known = _collect_queries(q)
-    if known is None:
-        return knn_grid(df, id_col, vec_col, queries, query_id, query_vec, k)
-    qids, qmat = known
-    rows = _clean(df, id_col, vec_col).filter(F.size("vec") == qmat.shape[1])
-    return _rank(rows.mapInArrow(_partial_top(qids, qmat, k), SCHEMA), k)
+def _blocks(queries: DataFrame, query_block: int) -> Iterator[Block]:
+    """Query ids and unit matrices, about ``query_block`` queries at a time."""
+    queries = stage(queries, "queries")
+    n = math.ceil(queries.count() / query_block)
+    for number in range(n):
+        rows = queries.filter(F.pmod(F.xxhash64("id"), F.lit(n)) == number).orderBy("id").collect()
+        by_size: dict[int, list] = {}
+        for r in rows:
+            by_size.setdefault(len(r["vec"]), []).append(r)
+        yield [
+            (np.array([r["id"] for r in same], np.int64), _unit(np.array([r["vec"] for r in same], np.float64)), None)
+            for size, same in sorted(by_size.items())
+            if size
+        ]
 
 
-def knn_grid(
+def knn(
     df: DataFrame,
     id_col: str,
     vec_col: str,
@@ -130,77 +135,68 @@ def knn_grid(
     query_vec: str,
     k: int,
     query_block: int = QUERY_BLOCK,
-    data_block: int = DATA_BLOCK,
 ) -> DataFrame:
-    """Exact top-k for any number of queries.
-
-    Both sides are hashed into blocks of bounded size and every pair of blocks is one task,
-    which returns its top-k per query. No pair of vectors is ever emitted.
-    """
-    rows, q = _clean(df, id_col, vec_col), _clean(queries, query_id, query_vec)
-    n_q = max(1, math.ceil(q.count() / query_block))
-    n_d = max(1, math.ceil(rows.count() / data_block))
-    every = F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb")
-    cells = rows.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n_d)).alias("db"), every)
-    each = F.explode(F.sequence(F.lit(0), F.lit(n_d - 1))).alias("db")
-    asks = q.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(n_q)).alias("qb"), each)
-
-    def cell(data: pd.DataFrame, ask: pd.DataFrame) -> pd.DataFrame:
-        if data.empty or ask.empty:
-            return pd.DataFrame({"query_id": [], "id": [], "similarity": []}).astype(
-                {"query_id": "int64", "id": "int64", "similarity": "float64"}
-            )
-        ids = data["id"].to_numpy()
-        scores = _unit(np.stack(data["vec"]).astype(np.float64)) @ _unit(
-            np.stack(ask["vec"]).astype(np.float64)
-        ).T
-        parts = []
-        for j, qid in enumerate(ask["id"]):
-            top = _top(scores[:, j], ids, k)
-            parts.append(pd.DataFrame({"query_id": qid, "id": ids[top], "similarity": scores[top, j]}))
-        return pd.concat(parts)
-
-    pairs = cells.groupBy("qb", "db").cogroup(asks.groupBy("qb", "db")).applyInPandas(cell, SCHEMA)
-    return _rank(pairs, k)
+    """Exact cosine top-k: (query_id, id, similarity, rank), ties by id, for any number of queries."""
+    rows = _clean(df, id_col, vec_col)
+    parts = [rows.mapInArrow(_partial_top(block, k), SCHEMA) for block in _blocks(_clean(queries, query_id, query_vec), query_block)]
+    return _rank(reduce(DataFrame.unionByName, parts, df.sparkSession.createDataFrame([], SCHEMA)), k)
 
 
 # ---- inverted lists ----
 
 
-def train_lists(df: DataFrame, vec_col: str, lists: int = DEFAULT_LISTS, sample_rows: int = 1_000_000, seed: int = 1):
-    """Cluster centres for the inverted lists.
-
-    Only the centres come from a sample of large tables; every row is assigned to a list
-    and searched.
-    """
+def train_lists(df: DataFrame, vec_col: str, lists: int = DEFAULT_LISTS, fraction: float = 1.0, seed: int = 1) -> DataFrame:
+    """Centres (list_id, centre) for the inverted lists, fitted on all rows unless the caller
+    asks for a fraction."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     vecs = df.filter(F.col(vec_col).isNotNull()).select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
-    n = vecs.count()
-    if n > sample_rows:
-        vecs = vecs.sample(fraction=sample_rows / n, seed=seed)
+    if fraction < 1:
+        vecs = vecs.sample(fraction=fraction, seed=seed)
     vecs = vecs.persist()
     try:
+        n = vecs.count()
         model = KMeans(k=min(lists, max(2, n)), seed=seed, maxIter=10, distanceMeasure="cosine").fit(vecs)
     finally:
         vecs.unpersist()
-    return model
+    centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    return df.sparkSession.createDataFrame(centres, CENTRES)
 
 
-def assign_lists(df: DataFrame, vec_col: str, model) -> DataFrame:
-    """Add ``list_id``, the nearest centre. Write the result partitioned by it to prune scans."""
-    from pyspark.ml.functions import array_to_vector
+CENTRES = "list_id int, centre array<double>"
 
-    rows = df.filter(F.col(vec_col).isNotNull()).withColumn(
-        "features", array_to_vector(F.col(vec_col).cast("array<double>"))
-    )
-    return model.transform(rows).withColumnRenamed("prediction", "list_id").drop("features")
+
+def _centre_matrix(centres: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    rows = centres.orderBy("list_id").collect()  # as many as there are lists
+    return np.array([r["list_id"] for r in rows], np.int32), _unit(np.array([r["centre"] for r in rows], np.float64))
+
+
+def assign_lists(df: DataFrame, vec_col: str, centres: DataFrame) -> DataFrame:
+    """Add ``list_id``, the nearest centre (ties to the lower id); vectors of another length are
+    left out, as no query of the lists' length can meet them."""
+    names, matrix = _centre_matrix(centres)
+    schema = StructType([*df.schema.fields, StructField("list_id", IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column(vec_col)), -1).to_numpy()
+            fit = batch.filter(pa.array(sizes == matrix.shape[1]))
+            if fit.num_rows:
+                nearest = np.argmax(np.round(_unit(_matrix(fit.column(vec_col))) @ matrix.T, 12), axis=1)
+                yield pa.RecordBatch.from_arrays([*fit.columns, pa.array(names[nearest])], names=[*fit.schema.names, "list_id"])
+
+    return df.mapInArrow(run, schema)
+
+
+def write_lists(df: DataFrame, vec_col: str, centres: DataFrame, path: str) -> None:
+    """The table partitioned by list, so that a search reads the lists it probes and no other."""
+    assign_lists(df, vec_col, centres).hint("rebalance", "list_id").write.partitionBy("list_id").parquet(path)
 
 
 def knn_ivf(
-    indexed: DataFrame,
-    model,
+    path: str,
+    centres: DataFrame,
     id_col: str,
     vec_col: str,
     queries: DataFrame,
@@ -208,20 +204,26 @@ def knn_ivf(
     query_vec: str,
     k: int,
     probes: int = 10,
+    query_block: int = QUERY_BLOCK,
 ) -> DataFrame:
-    """Approximate top-k: only the ``probes`` nearest lists of each query are searched."""
-    known = _collect_queries(_clean(queries, query_id, query_vec))
-    if known is None:
-        raise ValueError(f"more than {QUERY_BLOCK} queries in one search; send them in batches")
-    qids, qmat = known
-    centres = _unit(np.array(model.clusterCenters(), np.float64))  # lists x dimensions
-    near = np.argsort(-(qmat @ centres.T), axis=1, kind="stable")[:, :probes]
-    allowed = np.zeros((len(qids), len(centres)), bool)
-    np.put_along_axis(allowed, near, True, axis=1)
-    wanted = [int(x) for x in np.unique(near)]
-    rows = _clean(indexed, id_col, vec_col, "list_id").filter(F.col("list_id").isin(wanted))
-    rows = rows.filter(F.size("vec") == qmat.shape[1])
-    return _rank(rows.mapInArrow(_partial_top(qids, qmat, k, allowed), SCHEMA), k)
+    """Approximate top-k over written lists: each query sees its ``probes`` nearest lists."""
+    spark = queries.sparkSession
+    names, matrix = _centre_matrix(centres)
+    table = spark.read.parquet(path)
+    parts = []
+    for block in _blocks(_clean(queries, query_id, query_vec), query_block):
+        asked: Block = []
+        wanted: set[int] = set()
+        for qids, qmat, _ in block:
+            if qmat.shape[1] == matrix.shape[1]:
+                near = np.argsort(-np.round(qmat @ matrix.T, 12), axis=1, kind="stable")[:, :probes]
+                allowed = np.zeros((len(qids), int(names.max()) + 1), bool)
+                np.put_along_axis(allowed, names[near], True, axis=1)
+                wanted |= {int(x) for x in names[np.unique(near)]}
+                asked.append((qids, qmat, allowed))
+        rows = _clean(table.filter(F.col("list_id").isin(sorted(wanted))), id_col, vec_col, "list_id")
+        parts.append(rows.mapInArrow(_partial_top(asked, k), SCHEMA))
+    return _rank(reduce(DataFrame.unionByName, parts, spark.createDataFrame([], SCHEMA)), k)
 
 
 def recall(exact: DataFrame, approx: DataFrame) -> DataFrame:
@@ -237,7 +239,9 @@ def recall(exact: DataFrame, approx: DataFrame) -> DataFrame:
 
 def label_centres(df: DataFrame, label_col: str, vec_col: str) -> DataFrame:
     """Mean vector per label, as query vectors (labels are a small fixed set)."""
-    parts = df.select(F.col(label_col).alias("label"), F.posexplode(vec_col).alias("i", "x"))
-    means = parts.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    ordered = F.sort_array(F.collect_list(F.struct("i", "x"))).getField("x")
-    return means.groupBy("label").agg(ordered.alias("centre"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    vec = array_to_vector(F.col(vec_col).cast("array<double>"))
+    means = df.filter(F.col(vec_col).isNotNull()).groupBy(F.col(label_col).alias("label")).agg(Summarizer.mean(vec).alias("m"))
+    return means.select("label", vector_to_array("m").alias("centre"))

@@ -3,6 +3,7 @@
 from postmill.operators import vectors as VC
 from postmill.operators.reconcile import same_rows
 from postmill.plans.catalog import Inputs
+from postmill.session import work_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,23 +14,38 @@ def _args(spark):
     return data, VC.label_centres(data, "label", "embedding")
 
 
-def test_grid_equals_direct(spark):
+def test_blocks_of_queries_agree(spark):
     data, centres = _args(spark)
     direct = VC.knn(data, "vec_id", "embedding", centres, "label", "centre", 7)
-    grid = VC.knn_grid(data, "vec_id", "embedding", centres, "label", "centre", 7, query_block=3, data_block=50)
+    blocks = VC.knn(data, "vec_id", "embedding", centres, "label", "centre", 7, query_block=3)
     keys = ["query_id", "id", "rank"]
-    assert same_rows(direct.select(*keys), grid.select(*keys)).first().equal
+    assert same_rows(direct.select(*keys), blocks.select(*keys)).first().equal
 
 
-def test_all_lists_give_exact_answer(spark):
+def test_queries_meet_vectors_of_their_length(spark):
+    data = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [0.5, 0.5]), (4, None), (5, [])], "id long, v array<float>")
+    ask = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [1.0])], "q long, w array<double>")
+    for block in (1, 100):
+        rows = VC.knn(data, "id", "v", ask, "q", "w", 5, query_block=block).collect()
+        assert sorted((r.query_id, r.id, r["rank"]) for r in rows) == [(1, 1, 1), (1, 3, 2), (2, 2, 1)]
+    centres = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], VC.CENTRES)
+    path = work_dir(spark, "lists")
+    VC.write_lists(data, "v", centres, path)
+    rows = VC.knn_ivf(path, centres, "id", "v", ask, "q", "w", 5, probes=1).collect()
+    assert sorted((r.query_id, r.id) for r in rows) == [(1, 1), (1, 3)]
+
+
+def test_all_lists_give_exact_answer_and_some_are_pruned(spark):
     data, centres = _args(spark)
-    model = VC.train_lists(data, "embedding", 8)
-    indexed = VC.assign_lists(data, "embedding", model)
+    lists = VC.train_lists(data, "embedding", 8)
+    path = work_dir(spark, "lists")
+    VC.write_lists(data, "embedding", lists, path)
     exact = VC.knn(data, "vec_id", "embedding", centres, "label", "centre", 5)
-    full = VC.knn_ivf(indexed, model, "vec_id", "embedding", centres, "label", "centre", 5, probes=8)
+    full = VC.knn_ivf(path, lists, "vec_id", "embedding", centres, "label", "centre", 5, probes=8)
     assert {r.recall for r in VC.recall(exact, full).collect()} == {1.0}
-    some = VC.knn_ivf(indexed, model, "vec_id", "embedding", centres, "label", "centre", 5, probes=3)
-    assert all(0 <= r.recall <= 1 for r in VC.recall(exact, some).collect())
+    some = VC.knn_ivf(path, lists, "vec_id", "embedding", centres.limit(1), "label", "centre", 5, probes=2)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [list_id" in plan or "list_id" in plan.split("PartitionFilters")[1][:60]
 
 
 def test_ties_go_to_the_lower_id(spark):
