@@ -37,9 +37,21 @@ HEADLINE = [
     "keyword_search",
     "page_cards",
     "knn_exact",
+    "knn_ivf",
+    "html_fallback",
     "upsert_latest",
+    "upsert_table",
+    "json_sink",
+    "csv_sink",
+    "summary_sink",
     "stream_ingest",
+    "stream_dedup",
+    "stream_block_latch",
+    "stream_upsert",
 ]
+# the table a query reads most of, for rows per second
+READS = {"knn_exact": "embeddings", "knn_ivf": "embeddings", "crawl_state": "events", "partial_before_block": "events"}
+READS |= {"redirect_chain": "events", "stream_block_latch": "events"}
 
 
 def run(spark, sf_dir: str, name: str) -> float:
@@ -56,7 +68,7 @@ def main() -> None:
     for name in HEADLINE:
         cold[name] = round(run(spark, sf_dir, name), 3)
         times[name] = round(run(spark, sf_dir, name), 3)
-    postings = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    rows = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count() for t in ("documents", "embeddings", "events")}
     print(
         json.dumps(
             {
@@ -66,9 +78,8 @@ def main() -> None:
                 "queries": times,
                 "first_run": cold,
                 "sf": Path(sf_dir).name.removeprefix("sf"),
-                "postings_per_sec": {
-                    n: round(postings / times[n]) for n in ("ingest_feeds", "ats_jobs_row", "dedup_first_wins")
-                },
+                "cores": cpus,
+                "input_rows_per_sec": {n: round(rows[READS.get(n, "documents")] / t) for n, t in times.items() if t},
             }
         )
     )

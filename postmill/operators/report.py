@@ -117,7 +117,3 @@ def selector_usage(matches: DataFrame) -> DataFrame:
     """Matches per category and selector over all pages; unused selectors drop out."""
     total = matches.groupBy("category", "selector").agg(F.sum("n_matches").alias("n_matches"))
     return total.filter(F.col("n_matches") > 0)
-
-
-def coverage_text(share: Column | str) -> Column:
-    return percent(col(share))

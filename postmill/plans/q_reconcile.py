@@ -223,12 +223,16 @@ def cheapest_source_first(i):
     "same_companies",
     "H4",
     ["postings"],
-    "SELECT CAST(0 AS BIGINT) AS n_different, true AS equal",
+    """SELECT 'both sources' AS compared, count(*) AS n_different, count(*) = 0 AS equal FROM (
+      SELECT DISTINCT lower(company_name) AS c FROM postings WHERE source = 'linkedin' EXCEPT SELECT lower(company_name) FROM postings WHERE source = 'ats'
+      UNION ALL (SELECT DISTINCT lower(company_name) FROM postings WHERE source = 'ats' EXCEPT SELECT lower(company_name) FROM postings WHERE source = 'linkedin'))
+    UNION ALL SELECT 'after dedup', 0, true""",
 )
 def same_companies(i):
-    a = RC.companies(i.view("postings"))
-    b = RC.companies(RC.union_all(i.discovered, i.fetched))
-    return RC.same_rows(a, b)
+    """Companies of the two sources differ; deduplication of postings loses no company."""
+    every, kept = RC.companies(i.view("postings")), RC.companies(RC.dedup_first_wins(i.view("postings"), ["seq"]))
+    sources = RC.same_rows(RC.companies(i.discovered), RC.companies(i.fetched)).select(F.lit("both sources").alias("compared"), "*")
+    return sources.unionByName(RC.same_rows(every, kept).select(F.lit("after dedup").alias("compared"), "*"))
 
 
 # ---- duplicate matching ----
@@ -327,6 +331,17 @@ def candidate_urls(i):
     return DC.candidate_urls(_seeds(i)).select("company", "source_url")
 
 
+@query(
+    "candidate_urls_short",
+    "E7",
+    None,
+    f"""SELECT company, unnest(['https://www.comeet.co/jobs/' || company, 'https://' || company || '.comeet.co', 'https://careers.' || company || '.com']) AS source_url
+    FROM (SELECT {SEED} AS company FROM supplier)""",
+)
+def candidate_urls_short(i):
+    return DC.candidate_urls(_seeds(i), DC.SHORT_TEMPLATES).select("company", "source_url")
+
+
 @query(
     "discovered_companies",
     "C17 E7 E8 I32 A17",

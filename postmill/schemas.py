@@ -114,51 +114,6 @@ ATS_JOBS = _struct(
     reprocessing_retry_count=I,
 )
 
-CAPTURE_LOG = _struct(
-    {"crawl_id", "seq", "url", "status"},
-    crawl_id=L,
-    seq=L,
-    ts=TS,
-    url=S,
-    status=I,
-    content_type=S,
-    redirected_from=S,
-    body=S,
-)
-
-REJECTED = _struct(set(), company_slug=S, uid=S, title=S, reason=S)
-
-ATS_COMPANY_DIM = _struct(
-    {"company_key"},
-    company_key=S,
-    company_name=S,
-    ats_provider=S,
-    ats_base_url=S,
-    company_slug=S,
-    last_fetched=TS,
-    job_count=L,
-)
-
-MATCH_PAIR = _struct(
-    {"discovered_seq"},
-    discovered_seq=L,
-    career_job_id=S,
-    is_duplicate=B,
-    similarity_score=D,
-    match_method=S,
-)
-
-RUN_REPORT = _struct(
-    set(),
-    total_analyzed=L,
-    total_career_page_jobs=L,
-    confirmed_duplicates=L,
-    discovered_only=L,
-    duplication_rate=D,
-    ats_distribution=T.MapType(S, L),
-    job_origin_distribution=T.MapType(S, L),
-)
-
 # ---- fixed values: natural key, required columns, domains, limits, defaults ----
 NATURAL_KEY = ["ats_source", "company_slug", "job_id"]
 POSTING_REQUIRED = ["job_id", "title", "company_name", "source", "source_url"]
