@@ -35,8 +35,13 @@ PLAIN = "regexp_replace(text, '[^ -~]+', ' '{global})"
 for _char in ("'\"'", "chr(92)", "'<'", "'&'"):
     PLAIN = f"replace({PLAIN}, {_char}, ' ')"
 
-# A third of all rows belongs to company 0, crawl 0 and so on: the hot key.
-COMPANY = "(CASE WHEN doc_id % 3 = 1 THEN 0 ELSE doc_id % 37 END)"
+# A third of all rows belongs to company 0, crawl 0 and so on: the hot key. The others have
+# some eighteen postings each, so companies, job ids and titles grow with the table.
+NUMBER = "CAST(floor(doc_id / 27) AS BIGINT)"
+COMPANY = f"(CASE WHEN doc_id % 3 = 1 THEN 0 ELSE {NUMBER} END)"
+JOB = "CAST(CAST(floor(doc_id / 5) AS BIGINT) AS STRING)"
+# the text's second word in plain letters
+WORD = "regexp_replace(lower(split_part(text, ' ', 2)), '[^a-z]+', ''{global})"
 
 TITLE = _pick(
     8,
@@ -93,7 +98,7 @@ REQUIREMENT = _pick(
     "Associate degree.",
     "",
 )
-SOURCE = "CASE WHEN doc_id % 3 = 0 AND doc_id % 37 < 20 OR doc_id % 12 = 1 THEN 'ats' ELSE 'linkedin' END"
+SOURCE = f"CASE WHEN doc_id % 3 = 0 AND {NUMBER} % 5 < 3 OR doc_id % 12 = 1 THEN 'ats' ELSE 'linkedin' END"
 
 GREENHOUSE = _text(
     f'{{"jobs":[{{"id":<<{ID}>>,"title":"Engineer <<lang>>","location":{{"name":"Berlin"}},'
@@ -212,8 +217,8 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
             "doc_id AS seq",
             f"{SOURCE} AS source",
             f"concat(CASE WHEN doc_id % 2 = 0 THEN 'Company ' ELSE 'COMPANY ' END, CAST({COMPANY} AS STRING)) AS company_name",
-            "concat('J', CAST(doc_id % 97 AS STRING)) AS job_id",
-            f"concat({TITLE}, CASE WHEN doc_id % 5 = 0 AND doc_id % 8 <> 6 THEN 's' ELSE '' END) AS title",
+            f"concat('J', {JOB}) AS job_id",
+            f"trim(concat({TITLE}, CASE WHEN doc_id % 8 = 6 THEN '' WHEN doc_id % 5 = 0 THEN concat('s ', {WORD}) ELSE concat(' ', {WORD}) END)) AS title",
             f"{LOCATION} AS location",
             f"{JOB_TYPE} AS job_type",
             f"concat({REQUIREMENT}, '  ', text) AS description",
