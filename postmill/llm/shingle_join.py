@@ -5,7 +5,7 @@ each piece holds the XOR of its shingles' patterns. A shingle that only one of t
 one piece, so two sets differ in at most as many pieces as their symmetric difference has shingles;
 for similar sets that is at most a seventh of the sum of their sizes. A set with more pieces in use
 than that shares one of them, unchanged, with every set similar to it (pigeonhole). So documents
-are joined on (level, piece, value), and the pairs are checked against a 512-bit parity sketch
+are joined on (level, piece, value), and the pairs are checked against a parity sketch
 and then the sets themselves.
 
 Exactness. A level holds all pairs whose larger set lies in its band; a set is dealt at its own level and, if
@@ -13,12 +13,15 @@ a larger partner may lie there, at the next. If too few pieces are in use, the s
 suffice (at last with a piece for each shingle), and both of a pair use the seeds up to the one
 that suffices for either.
 
-Hot groups. Equal sets are one class and only its first member of a task is dealt. Of a piece's
-documents each is paired with the first (a star, not all pairs); the links found give components.
-Only where a piece's documents lie in several components are they paired across these; and a piece
-of more than COLD nodes is then left out for documents that have enough other pieces, so a
-passage shared by very many documents makes no pairs except between those that consist of little
-else. No link is lost: a set with enough cold pieces meets all its partners there.
+Hot groups. Equal sets are one class and only its first member of a task is dealt. A set may leave
+out as many pieces as it has in use beyond what it needs: each leaves out its most frequent ones,
+so a line or passage shared by very many documents joins none of them (prefix filter: in one
+order of all pieces, two sets that share t pieces share one of what is left when each leaves
+out t - 1). Nearly all are left out before the shuffle, in an order fitted on a sample of about
+ORDER_DOCS documents (any order is exact, a good one is fast); RESERVE more are left out after it,
+by the true frequencies. Of a piece's documents each is paired with the first (a star, not all
+pairs); the links found give components, and only documents of one piece that lie in different
+components after that are paired with each other. No link between components is lost.
 
 Null text and text without words have an empty set, link with nothing and are their own component.
 Rows that share a ``doc_id`` count as one document with several texts. A null ``doc_id`` gets its
@@ -29,6 +32,7 @@ come. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +41,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from postmill.llm.common import map_texts, pa_schema, slices, texts_of
+from postmill.llm.common import pa_schema, slices, texts_of
 from postmill.llm.components import components
 from postmill.operators.joins import lookup
 from postmill.session import stage
 
 WORDS = 5
-COLD = 64  # nodes of a piece up to which its nodes of several components are all compared
+RESERVE = 24  # pieces that are left out by their true frequency, at most
+ORDER_DOCS = 8192  # documents of the sample that orders pieces
+OFTEN = 4  # times that a piece is in the sample to count as frequent
 SEEDS = 24  # dealings before each shingle gets a piece of its own
-FEW_IDS = 1_000_000  # ids of eight bytes that may be broadcast
+FEW_IDS = 1_000_000  # rows of a few ids that may be broadcast
+SLOT = 512  # documents that are compared with one partner in one group
 
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 _M = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -73,10 +80,10 @@ def shingles(text: str) -> np.ndarray:
     return np.unique(mix(total))
 
 
-# Band ends: three steps of 4/3 apart.
+# Band ends: six steps of 4/3 apart.
 ENDS = [6]
 while ENDS[-1] < 1 << 40:
-    ENDS.append(int(ENDS[-1] * (4 / 3) ** 3))
+    ENDS.append(int(ENDS[-1] * (4 / 3) ** 6))
 _ends = np.array(ENDS)
 
 
@@ -94,7 +101,7 @@ def deal(hashes: np.ndarray, level: int, seed: int) -> np.ndarray:
     salt = mix(np.array([level << 8 | seed], np.uint64))
     if seed == SEEDS:
         return mix(hashes ^ salt)
-    pieces = ENDS[level] * 33 // 100 + 4
+    pieces = ENDS[level] * 6 // 10 + 6
     spread = mix(hashes + salt)
     piece = (spread >> np.uint64(32)) * np.uint64(pieces) >> np.uint64(32)
     order = np.argsort(piece, kind="stable")
@@ -104,29 +111,82 @@ def deal(hashes: np.ndarray, level: int, seed: int) -> np.ndarray:
     return mix((value + (piece[starts] + np.uint64(1)) * _K[1]) ^ salt)
 
 
-def keys_of(hashes: np.ndarray) -> tuple[np.ndarray, int]:
-    """All keys of a set, and how many pieces it can do without (-1: it needed several seeds)."""
+@dataclass
+class Order:
+    """Frequent pieces of a sample: sorted keys and how often each was there."""
+
+    keys: np.ndarray
+    times: np.ndarray
+
+    def rarest(self, keys: np.ndarray, n: int) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        times = np.where(self.keys[at] == keys, self.times[at], 0) if len(self.keys) else np.zeros(len(keys))
+        return keys[np.lexsort((keys, times))[:n]]
+
+
+def keys_of(hashes: np.ndarray, order: Order | None = None) -> tuple[np.ndarray, int]:
+    """Keys of a set, and how many of them it can still do without. Without an order: all keys."""
     size = len(hashes)
     if size < 3:  # similar only to equal sets
         return np.empty(0, np.uint64), 0
-    found, spare = [], 1 << 20
+    found, reserve = [], RESERVE
     for level in sorted({level_of(size), level_of(4 * size // 3)}):
         need = most_apart(size, level) + 1
         for seed in range(SEEDS + 1):
             keys = deal(hashes, level, seed)
-            found.append(keys)
             if len(keys) >= need:
-                spare = min(spare, len(keys) - need if seed == 0 else -1)
+                spare = min(RESERVE, len(keys) - need) if seed == 0 else 0
+                reserve = min(reserve, spare)
+                found.append(order.rarest(keys, need + spare) if order and seed == 0 else keys)
                 break
-    return np.concatenate(found), spare
+            found.append(keys)
+    return np.concatenate(found), reserve
+
+
+LEAST_BITS = 512  # of a parity sketch; two per shingle where that is more
+ROWS = "key long, more long, doc_id long, spare int, size int, sketch binary"
+
+
+def sketch_of(hashes: np.ndarray) -> bytes:
+    """A bit per residue of the hashes: the parity of the shingles that have it."""
+    width = max(LEAST_BITS, 1 << (2 * max(1, len(hashes)) - 1).bit_length())
+    bits = np.bincount((hashes & np.uint64(width - 1)).astype(np.intp), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
 
+def distance(a: bytes, b: bytes) -> int:
+    """Hamming distance of two sketches, at most the symmetric difference of the sets. The wider
+    one is folded: the XOR of its halves is the sketch of half the width."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
-ROWS = "key long, doc_id long, more long, size long, spare long"
-GROUPS = "key long, doc_id long, first long, size long, spare long"
+
+def fitted_order(docs: DataFrame) -> Order:
+    """The pieces that are often in about ORDER_DOCS documents, chosen by a hash of their ids."""
+    spark = docs.sparkSession
+    types = pa_schema(spark, "key long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in slices(batch):
+                found = np.concatenate([keys_of(shingles(t))[0] for t in texts]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found)], schema=types)
+
+    share = ORDER_DOCS / max(1, docs.count())
+    some = texts_of(docs).filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    often = some.mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= OFTEN).toArrow()
+    keys = often.column("key").to_numpy().astype(np.int64).view(np.uint64)
+    place = np.argsort(keys)
+    return Order(keys[place], often.column("n").to_numpy().astype(np.int64)[place])
 
 
 def dealt(docs: DataFrame) -> DataFrame:
-    """A row per text (size set: key and ``more`` say which set it is) and per piece (size null)."""
+    """A row per text (key and ``more`` say which set it is) and per piece (size is null)."""
+    order = docs.sparkSession.sparkContext.broadcast(fitted_order(docs))
     types = pa_schema(docs.sparkSession, ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,173 +194,181 @@ def dealt(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part, texts in slices(batch):
                 whole: list[tuple] = []
-                keys, owners = [], []
+                keys, owners, spares = [np.empty(0, np.uint64)], [], []
                 for doc_id, text in zip(part.column("doc_id").to_pylist(), texts, strict=True):
                     hashes = shingles(text)
                     size = len(hashes)
                     one = int(np.bitwise_xor.reduce(mix(hashes + _K[3]))) if size else xxhash.xxh64_intdigest(str(doc_id))
                     two = int(mix(hashes ^ _K[4]).sum(dtype=np.uint64)) if size else 0
-                    spare = 0
+                    whole.append((one, two, doc_id, size, sketch_of(hashes)))
                     if size and doc_id is not None and (one, two) not in seen:
                         seen.add((one, two))
-                        own, spare = keys_of(hashes)
+                        own, spare = keys_of(hashes, order.value)
                         keys.append(own)
-                        owners.append(np.full(len(own), doc_id))
-                    whole.append((one, doc_id, two, size, spare))
-                pieces = np.concatenate([*keys, np.empty(0, np.uint64)]).view(np.int64)
-                docs_of = np.concatenate([*owners, np.empty(0, np.int64)])
-                n, blank = len(pieces), np.zeros(len(pieces), bool)
-                one, doc_id, two, size, spare = zip(*whole, strict=True)
+                        owners += [doc_id] * len(own)
+                        spares += [spare] * len(own)
+                pieces = np.concatenate(keys).view(np.int64)
+                n = len(pieces)
+                one, two, doc_id, size, sketch = zip(*whole, strict=True)
                 signed = lambda xs: pa.array(np.array(xs, np.uint64).view(np.int64))
-                nothing = pa.nulls(n, pa.int64())
-                columns = [
+                arrays = [
                     [signed(one), pa.array(pieces)],
-                    [pa.array(doc_id, pa.int64()), pa.array(docs_of, pa.int64())],
-                    [signed(two), pa.array(np.zeros(n, np.int64), mask=blank)],
-                    [pa.array(size, pa.int64()), nothing],
-                    [pa.array(spare, pa.int64()), nothing],
+                    [signed(two), pa.array(np.zeros(n, np.int64))],
+                    [pa.array(doc_id, pa.int64()), pa.array(owners, pa.int64())],
+                    [pa.nulls(len(whole), pa.int32()), pa.array(spares, pa.int32())],
+                    [pa.array(size, pa.int32()), pa.nulls(n, pa.int32())],
+                    [pa.array(sketch, pa.binary()), pa.nulls(n, pa.binary())],
                 ]
-                arrays = [pa.concat_arrays(c) for c in columns]
-                yield pa.RecordBatch.from_arrays(arrays, schema=types)
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(a) for a in arrays], schema=types)
 
     return texts_of(docs).mapInArrow(run, ROWS)
 
 
 def grouped(rows: DataFrame) -> DataFrame:
-    """Rows of texts with the first document of their set, and rows of pieces that several
-    documents have with the first of these."""
-    types = pa_schema(rows.sparkSession, GROUPS)
+    """All rows of texts, and the rows of pieces that several documents have: with the first
+    document of their group and the number of its rows."""
+    group = Window.partitionBy("key", "more", "size")
+    rows = rows.withColumns({"first": F.min("doc_id").over(group), "n": F.count("*").over(group)})
+    return rows.filter("size is not null or n > 1").drop("more")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None  # the last row, whose group may go on
-        hub: tuple | None = None  # group of the last row: key, more, size, its first document
-
-        def emit(table: pa.Table, alone: bool) -> pa.RecordBatch:
-            nonlocal hub
-            key, more = table.column("key").to_numpy(), table.column("more").to_numpy()
-            size = table.column("size").fill_null(-1).to_numpy()
-            doc = table.column("doc_id").fill_null(-(1 << 63)).to_numpy()
-            null = doc == -(1 << 63)
-            fresh = np.ones(len(key), bool)  # begins a group
-            fresh[1:] = (key[1:] != key[:-1]) | (more[1:] != more[:-1]) | (size[1:] != size[:-1]) | null[1:] | null[:-1] | (size[1:] == 0)
-            carried = hub is not None and hub[:3] == (key[0], more[0], size[0]) and not null[0] and size[0] != 0
-            if carried:
-                fresh[0] = False
-            group = np.cumsum(fresh) - 1
-            firsts = np.concatenate([[hub[3] if carried else 0], doc[fresh]])
-            first = firsts[group + 1]
-            after = np.concatenate([~fresh[1:], [not alone]])  # the group goes on in the next row
-            again = np.concatenate([[False], (doc[1:] == doc[:-1]) & ~fresh[1:]]) & (size < 0)
-            keep = (size >= 0) | ((~fresh | after) & ~again)
-            hub = (key[-1], more[-1], size[-1], first[-1])
-            out = [
-                pa.array(key[keep]),
-                pa.array(doc[keep], mask=null[keep]),
-                pa.array(first[keep], mask=null[keep]),
-                table.column("size").combine_chunks().filter(pa.array(keep)),
-                table.column("spare").combine_chunks().filter(pa.array(keep)),
-            ]
-            return pa.RecordBatch.from_arrays(out, schema=types)
 
+def rarest(pieces: DataFrame) -> DataFrame:
+    """key, doc_id of the pieces that each document needs: without its ``spare`` most frequent."""
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "key"))
+    kept = pieces.withColumn("place", place).filter("place > spare").select("key", "doc_id")
+    return kept
+
+
+def near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches allow similar sets."""
+    brief = texts.select("doc_id", "size", "sketch").dropDuplicates()
+
+    def side(name: str) -> DataFrame:
+        return brief.select(F.col("doc_id").alias(name), F.col("size").alias(f"size_{name}"), F.col("sketch").alias(f"sketch_{name}"))
+
+    both = pairs.join(side("a"), "a").filter("size_a > 2").join(side("b"), "b")
+    both = both.filter("100L * least(size_a, size_b) >= 75L * greatest(size_a, size_b)")
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if held is not None:
-                table = pa.concat_tables([held, table])
-            if len(table) > 1:
-                last, following = table.slice(len(table) - 1), table.slice(0, len(table) - 1)
-                same = all(
-                    last.column(c)[0].as_py() == following.column(c)[len(following) - 1].as_py() for c in ("key", "more", "size")
-                )
-                yield emit(following.combine_chunks(), alone=not same)
-                held = last
-            else:
-                held = table
-        if held is not None and len(held):
-            yield emit(held.combine_chunks(), alone=True)
-
-    # texts of one set and pieces are told apart by their size; nulls come first
-    ordered = rows.repartition("key").sortWithinPartitions("key", "more", "size", "doc_id")
-    return ordered.mapInArrow(run, GROUPS)
-
-
-SET_BITS = 512
-SETS = "doc_id long, size long, " + ", ".join(f"s{i} long" for i in range(SET_BITS // 64)) + ", hashes binary"
-
-
-def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Size, 512-bit parity sketch and hashes of the documents that ``ids`` (a staged table) names."""
-    if ids.count() <= FEW_IDS:
-        some = texts_of(docs).join(F.broadcast(ids), "doc_id", "left_semi")
-    else:
-        some = texts_of(docs).join(ids, "doc_id", "left_semi")
-
-    def work(batch, texts):
-        found = [shingles(t) for t in texts]
-        out = {"doc_id": batch.column("doc_id").to_pylist(), "size": [len(h) for h in found]}
-        sketches = np.zeros((len(found), SET_BITS), np.uint8)
-        for row, h in zip(sketches, found, strict=True):
-            row[:] = np.bincount((h >> np.uint64(55)).astype(np.intp), minlength=SET_BITS) & 1
-        longs = np.packbits(sketches, axis=1, bitorder="little").view("<i8")
-        out |= {f"s{i}": longs[:, i] for i in range(longs.shape[1])}
-        return out | {"hashes": [h.astype("<u8").tobytes() for h in found]}
-
-    return map_texts(some, work, SETS).dropDuplicates(["doc_id", "size", "s0", "s1", "s2", "s3", "hashes"])
+            rows = zip(*[batch.column(c).to_pylist() for c in ("sketch_a", "sketch_b", "size_a", "size_b")], strict=True)
+            yield batch.select(["a", "b"]).filter(pa.array([7 * distance(x, y) <= m + n for x, y, m, n in rows], pa.bool_()))
 
+    return both.mapInArrow(prune, "a long, b long").distinct()
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: sizes first, then sketches, then the sets."""
-    pairs = stage(pairs.distinct(), "pairs")
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    sets = stage(sets_of(docs, ids), "sets")
-    brief = [c for c in sets.columns if c != "hashes"]
 
-    def side(name: str, columns: list[str]) -> DataFrame:
-        return sets.select(F.col("doc_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns if c != "doc_id"])
+ASKS = "hub long, slot long, member boolean, doc_id long, hashes binary"
 
-    apart = sum((F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b"))) for i in range(SET_BITS // 64)), F.lit(0))
-    near = pairs.join(side("a", brief), "a").join(side("b", brief), "b")
-    near = near.filter("100 * least(size_a, size_b) >= 75 * greatest(size_a, size_b)")
-    near = near.filter(apart * 7 <= F.col("size_a") + F.col("size_b")).select("a", "b").distinct()
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of a staged table whose sets are similar.
+
+    Every document's set goes once to each partner ``a`` it is compared with; the documents of
+    a hot partner are spread over slots of about SLOT each, and its own set goes to all of them.
+    """
+    slots = pairs.groupBy("a").agg(F.ceil(F.count("*") / SLOT).alias("slots"))
+    slot = F.pmod(F.xxhash64("b"), F.col("slots"))
+    members = pairs.join(slots, "a").select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), slot.alias("slot"), F.lit(True).alias("member"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1))
+    hubs = slots.select(F.col("a").alias("doc_id"), F.col("a").alias("hub"), every.alias("slot"), F.lit(False).alias("member"))
+    asks = stage(members.unionByName(hubs), "asks")
+    asked = texts_of(docs).join(F.broadcast(asks) if asks.count() <= FEW_IDS else asks, "doc_id")
+    types = pa_schema(docs.sparkSession, ASKS)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("hashes_a"), batch.column("hashes_b"), strict=True):
-                one, two = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * both >= 75 * (len(one) + len(two) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for part, texts in slices(batch):
+                last, found = None, []
+                for text in texts:
+                    if last is None or text != last:
+                        last, own = text, shingles(text).astype("<u8").tobytes()
+                    found.append(own)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in types.names[:-1]], pa.array(found, pa.binary())], schema=types)
 
-    with_sets = near.join(side("a", ["hashes"]), "a").join(side("b", ["hashes"]), "b")
-    return stage(with_sets.mapInArrow(check, "a long, b long"), "links")
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, own = None, set()  # the partner at hand and its sets
+        for batch in batches:
+            rows = zip(*[batch.column(c).to_pylist() for c in ("hub", "slot", "member", "doc_id")], batch.column("hashes"), strict=True)
+            found = []
+            for hub, slot, member, doc_id, hashes in rows:
+                if (hub, slot) != place:
+                    place, own = (hub, slot), set()
+                if not member:
+                    own.add(hashes.as_py())
+                    continue
+                one = np.frombuffer(hashes.as_buffer(), "<u8")
+                for other in own:
+                    two = np.frombuffer(other, "<u8")
+                    both = len(np.intersect1d(one, two, assume_unique=True))
+                    if 100 * both >= 75 * (len(one) + len(two) - both):
+                        found.append((hub, doc_id))
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    dealt_sets = asked.mapInArrow(sets, ASKS).repartition("hub", "slot").sortWithinPartitions("hub", "slot", "member")
+    return stage(dealt_sets.mapInArrow(check, "a long, b long"), "links")
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per row of ``docs``."""
     groups = stage(grouped(dealt(docs)), "groups")
     texts = groups.filter("size is not null")
-    pieces = groups.filter("size is null")
-    # equal sets are one node, its first document
-    nodes = texts.filter("doc_id is not null and size > 0").groupBy("doc_id").agg(F.min("first").alias("node"), F.min("spare").alias("spare"))
-    nodes = stage(nodes, "nodes")
-    node_of = nodes.select("doc_id", "node")
-    first_of = node_of.withColumnsRenamed({"doc_id": "first", "node": "first_node"})
-    members = pieces.join(node_of, "doc_id").join(first_of, "first").select("key", "node", "first_node", "doc_id").distinct()
-    members = stage(members, "members")
-    star = members.filter("node <> first_node").select(F.least("node", "first_node").alias("a"), F.greatest("node", "first_node").alias("b"))
-    equal = texts.filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
-    links = verified(docs, star)
+    pieces = stage(rarest(groups.filter("size is null")), "pieces")
+    equal = texts.filter("size > 0 and doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    # one partner for each document, the first of all that share a piece with it
+    firsts = pieces.groupBy("key").agg(F.min("doc_id").alias("a"))
+    one = pieces.join(firsts, "key").groupBy(F.col("doc_id").alias("b")).agg(F.min("a").alias("a")).filter("a < b")
+    links = verified(docs, stage(near(one.select("a", "b"), texts), "near-one")).union(equal)
     found = components(links)
-    missing = verified(docs, across(members, nodes, found, star))
-    if not missing.isEmpty():
-        links = links.union(missing)
-    found = components(links.union(equal.distinct()))
-    return (
-        texts.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-        .select("doc_id", F.col("size").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    # the first of a piece with those that still lie in other components, then any two such
+    for pairs in (stars, across):
+        links, found = joined(docs, links, found, stage(near(pairs(pieces, texts, found), texts), "near"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return texts.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "doc_id", F.col("size").cast("long").alias("n_shingles"), component.alias("component_id")
     )
 
 
+def joined(docs: DataFrame, links: DataFrame, found: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and components after further pairs were compared."""
+    if pairs.isEmpty():
+        return links, found
+    more = verified(docs, pairs)
+    if more.isEmpty():
+        return links, found
+    links = links.union(more)
+    return links, components(links)
+
+
+def spread(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+    """key, doc_id, component, size of the pieces whose documents lie in several components."""
+    rows = pieces.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "doc_id"))
+    several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    sizes = texts.select("doc_id", "size").dropDuplicates()
+    rows = rows.join(several.filter("low < high").select("key"), "key").join(sizes, "doc_id")
+    return stage(rows, "spread")
+
+
+COMPARABLE = "component_a <> component_b AND 100L * least(size_a, size_b) >= 75L * greatest(size_a, size_b)"
+
+
+def stars(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+    """Each piece's first document with those of comparable size in other components."""
+    rows = spread(pieces, texts, found)
+    first = rows.groupBy("key").agg(F.min(F.struct("doc_id", "component", "size")).alias("f"))
+    first = first.select("key", F.col("f.doc_id").alias("a"), F.col("f.component").alias("component_a"), F.col("f.size").alias("size_a"))
+    pairs = rows.withColumnsRenamed({"doc_id": "b", "component": "component_b", "size": "size_b"}).join(first, "key")
+    return pairs.filter(COMPARABLE).select("a", "b").distinct()
+
+
+def across(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+    """Any two documents of a piece of comparable size in different components."""
+    rows = spread(pieces, texts, found)
+    one, other = (rows.withColumnsRenamed({"doc_id": x, "component": f"component_{x}", "size": f"size_{x}"}) for x in "ab")
+    return one.join(other, "key").filter(F.expr(COMPARABLE) & F.expr("a < b")).select("a", "b").distinct()
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document of each group of similar ones (the smallest id), all its columns as they are.
 
@@ -319,18 +387,3 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return once.unionByName(several.withColumn("_place", place).filter("_place = 1").select(*docs.columns))
 
 
-def across(members: DataFrame, nodes: DataFrame, found: DataFrame, checked: DataFrame) -> DataFrame:
-    """Pairs of nodes of one piece that lie in different components and were not compared yet."""
-    rows = members.select("key", "node").distinct().join(found, "node", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "node"))
-    spread = rows.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    spread = spread.filter("low < high").select("key", (F.col("n") <= COLD).alias("cold"))
-    rows = stage(rows.join(spread, "key"), "spread")
-    hot = rows.filter("not cold").groupBy("node").agg(F.count("*").alias("hot"))
-    needy = hot.join(nodes.groupBy("node").agg(F.min("spare").alias("spare")), "node").filter("hot > spare").select("node")
-    rows = rows.filter("cold").unionByName(rows.filter("not cold").join(needy, "node", "left_semi").select(*rows.columns))
-    other = rows.select("key", F.col("node").alias("b"), F.col("component").alias("component_b"))
-    pairs = rows.withColumnRenamed("node", "a").join(other, "key").filter("a < b and component <> component_b")
-    return pairs.select("a", "b").distinct().join(checked.distinct(), ["a", "b"], "left_anti")

@@ -93,8 +93,22 @@ def test_keys_are_shared_by_every_similar_pair():
         b |= {r.getrandbits(64) for _ in range(r.randint(0, n // 3))}
         if a == b or 100 * len(a & b) < 75 * len(a | b):
             continue
-        keys = [set(join.keys_of(np.array(sorted(s), np.uint64))[0].tolist()) for s in (a, b)]
-        assert keys[0] & keys[1]
+        # an order that knows half of what they share, and one that knows nothing
+        some = np.array(sorted(set(join.keys_of(np.array(sorted(a), np.uint64))[0].tolist()[::2])), np.uint64)
+        for order in (join.Order(some, np.arange(len(some)) + 4), join.Order(some[:0], some[:0])):
+            keys = [join.keys_of(np.array(sorted(s), np.uint64), order) for s in (a, b)]
+            shared = set(keys[0][0].tolist()) & set(keys[1][0].tolist())
+            assert len(shared) > max(keys[0][1], keys[1][1])
+
+
+def test_sketch_distance_is_a_lower_bound():
+    r = random.Random(8)
+    for _ in range(300):
+        n, m = r.choice([1, 5, 200, 256, 257, 700, 3000]), r.choice([0, 3, 100, 900])
+        a = {r.getrandbits(64) for _ in range(n)}
+        b = set(r.sample(sorted(a), r.randint(0, n))) | {r.getrandbits(64) for _ in range(m)}
+        sketches = [join.sketch_of(np.array(sorted(s), np.uint64)) for s in (a, b)]
+        assert (len(a ^ b) - join.distance(*sketches)) % 2 == 0 <= len(a ^ b) - join.distance(*sketches)
 
 
 def test_odd_rows(docs_of):
