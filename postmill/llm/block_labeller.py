@@ -32,11 +32,12 @@ PATHS, WORDS = 8192, 16384  # rows of the two tables of vectors
 PATH_SIZE, WORD_SIZE, PLAIN, HIDDEN = 24, 12, 6, 24
 TRAINING_PAGES, EPOCHS, TOGETHER, RATE, SEED = 2400, 6, 32, 0.01, 7
 WORD_DECAY = 0.01
+CACHED_WORDS = 200_000
 STEP_BLOCKS = 4096  # padded blocks that are labelled together
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"
 
-_word_rows = Cache(lambda word: zlib.crc32(word.encode()) % WORDS)
-_path_rows = Cache(lambda path: [zlib.crc32(t.encode()) % PATHS for t in _steps(path)])
+_word_rows = Cache(lambda word: zlib.crc32(word.encode()) % WORDS, "pages")
+_path_rows = Cache(lambda path: [zlib.crc32(t.encode()) % PATHS for t in _steps(path)], "pages")
 
 
 def _steps(path: tuple[str, ...]) -> set[str]:
@@ -220,8 +221,8 @@ def label(pages: list[list[Block]], net: dict[str, np.ndarray]) -> list[np.ndarr
 
 def main_text(pages: list[str], net: dict[str, np.ndarray]) -> list[tuple[str, int]]:
     """Joined content blocks and the number of all blocks."""
-    _word_rows.room()
-    _path_rows.room()
+    _word_rows.room(CACHED_WORDS)
+    _path_rows.room(CACHED_WORDS)
     found = [blocks(p) for p in pages]
     kept = label(found, net)
     return [(" ".join(b.text for b, k in zip(f, keep, strict=True) if k), len(f)) for f, keep in zip(found, kept, strict=True)]

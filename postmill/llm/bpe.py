@@ -13,6 +13,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable
+from typing import ClassVar
 
 import numpy as np
 import regex
@@ -23,7 +24,8 @@ from tokenizers import Tokenizer  # noqa: E402
 
 CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 LONGEST_CACHED = 48  # characters of a part
-CACHED = 1_000_000  # parts a worker remembers, some 200 MB
+CACHED = 400_000  # parts a worker remembers, some 80 MB
+HOT = 60_000  # of these, the ones kept in a table small enough for a processor's cache
 # The usual byte-level pattern, and the characters for which every Unicode version agrees on its
 # classes (fixed values).
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -31,10 +33,18 @@ SETTLED = "\u024f"
 
 
 class Cache(dict):
-    """Works out what it does not know and remembers the newest: the older half goes when it is full."""
+    """Works out what it does not know and remembers the newest: the older half goes when it is full.
 
-    def __init__(self, make: Callable):
-        self.make = make
+    Workers outlive tasks. Only the caches of the operator at work are kept: they say whose they
+    are, and the first use by another operator empties all others.
+    """
+
+    every: ClassVar[list[Cache]] = []
+    at_work: ClassVar[list[str]] = [""]
+
+    def __init__(self, make: Callable, owner: str):
+        self.make, self.owner = make, owner
+        Cache.every.append(self)
 
     def __missing__(self, key):
         got = self.make(key)
@@ -43,6 +53,11 @@ class Cache(dict):
         return got
 
     def room(self, limit: int = CACHED) -> None:
+        if Cache.at_work != [self.owner]:
+            Cache.at_work[:] = [self.owner]
+            for other in Cache.every:
+                if other.owner != self.owner:
+                    other.clear()
         if len(self) > limit:
             for key in list(self)[: limit // 2]:
                 del self[key]
@@ -82,9 +97,10 @@ class Encoder:
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.cuts = byte_level(spec)
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.seen = Cache(self._part)  # part after the first -> bytes of its ids
-        self.first = Cache(self._text)
-        self.tokens = Cache(self._model)  # pre-token -> bytes of its ids
+        self.seen = Cache(self._part, "ids")  # part after the first -> bytes of its ids
+        self.hot = Cache(self.seen.__getitem__, "ids")
+        self.first = Cache(self._text, "ids")
+        self.tokens = Cache(self._model, "ids")  # pre-token -> bytes of its ids
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch(texts, add_special_tokens=False)
@@ -106,6 +122,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """One array of ids per text."""
         self.seen.room()
+        self.hot.room(HOT)
         self.first.room(CACHED // 10)
         self.tokens.room(CACHED // 10)
         out = []
@@ -114,7 +131,7 @@ class Encoder:
                 out.append(np.frombuffer(self._whole([text])[0], "<u4"))
                 continue
             first, *parts = parts_of(text)
-            out.append(np.frombuffer(self.first[first] + b"".join(map(self.seen.__getitem__, parts)), "<u4"))
+            out.append(np.frombuffer(self.first[first] + b"".join(map(self.hot.__getitem__, parts)), "<u4"))
         return out
 
 
@@ -175,8 +192,9 @@ class PrefixTable:
         self.right: dict[int, list[int]] = {}
         self.left: dict[int, list[int]] = {}
         self.pairs: dict[int, bool] = {}  # first token << 32 | second
-        self.seen = Cache(self._part)  # part after the first -> its steps
-        self.tokens = Cache(lambda token: signed(self._chars(token)))
+        self.seen = Cache(self._part, "counts")  # part after the first -> its steps
+        self.hot = Cache(self.seen.__getitem__, "counts")
+        self.tokens = Cache(lambda token: signed(self._chars(token)), "counts")
         self.before = (b"", [-1], [0])  # the pre-token worked out last, its last tokens and counts
         # the vocabulary read from the last byte on: byte -> token that begins there or -1, and what may precede
         self.tree: dict[int, tuple[int, dict]] = {}
@@ -299,13 +317,14 @@ class PrefixTable:
     def steps(self, texts: list[str]) -> list[np.ndarray]:
         """By how much each character of a text changes the token count of the prefix it ends."""
         self.seen.room()
+        self.hot.room(HOT)
         self.tokens.room(CACHED // 10)
         if len(self.pairs) > 2_000_000:
             self.pairs.clear()
-        known = self.seen.__getitem__
+        known = self.hot.__getitem__
         cut = [None if any(s in text for s in self.special) else parts_of(text) for text in texts]
         heads = [parts.pop(0) if parts else "" for parts in cut]
-        for part in sorted(set().union(*filter(None, cut)).difference(self.seen)):  # neighbours share their heads
+        for part in sorted(set().union(*filter(None, cut)).difference(self.hot)):  # neighbours share their heads
             known(part)
         return [
             self._special(text)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from postmill.session import ship_package
 
-SLICE_CHARS = 1 << 21  # texts that one step of a Python task handles together
+SLICE_CHARS = 1 << 20  # texts that one step of a Python task handles together
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

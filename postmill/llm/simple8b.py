@@ -26,21 +26,20 @@ BITS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE_BITS = 15
 ESCAPE = (1 << ESCAPE_BITS) - 1
 MARK_EVERY = 64
+_widths = np.frexp(np.arange(ESCAPE + 1.0))[1].astype(np.uint8)  # bits of a number
 MAGIC = b"S8BLOCK1"
 HEADER = struct.Struct("<8s6I")
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and escapes of an array of ids."""
-    ids = ids.astype(np.uint64)
-    large = ids >= ESCAPE
-    values = np.where(large, np.uint64(ESCAPE), ids)
+    values = np.minimum(ids, ESCAPE).astype(np.uint64)
     n = len(values)
     if not n:
         return np.empty(0, "<u8"), np.empty(0, "<u4")
     # bits that the widest of the next c ids needs, for every c in use; zeros beyond the end
     widths = np.zeros(n + 512, np.uint8)
-    widths[:n] = np.frexp(values.astype(np.float64))[1]
+    widths[:n] = _widths[values.astype(np.intp)]
     choice = np.full(n, 15, np.uint8)
     widest, span = widths, 1
     spans = {1: widths}
@@ -75,7 +74,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = np.flatnonzero(selectors == selector)
         for k in range(count if bits else 0):
             words[rows] |= padded[first[rows] + k] << np.uint64(4 + bits * k)
-    return words.astype("<u8"), ids[large].astype("<u4")
+    return words.astype("<u8"), ids[ids >= ESCAPE].astype("<u4")
 
 
 def unpack(words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
