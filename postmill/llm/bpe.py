@@ -52,12 +52,17 @@ class Cache(dict):
             self[key] = got
         return got
 
+    @staticmethod
+    def only(owner: str) -> None:
+        """Empty what other operators have left in this worker."""
+        if Cache.at_work != [owner]:
+            Cache.at_work[:] = [owner]
+            for cache in Cache.every:
+                if cache.owner != owner:
+                    cache.clear()
+
     def room(self, limit: int = CACHED) -> None:
-        if Cache.at_work != [self.owner]:
-            Cache.at_work[:] = [self.owner]
-            for other in Cache.every:
-                if other.owner != self.owner:
-                    other.clear()
+        Cache.only(self.owner)
         if len(self) > limit:
             for key in list(self)[: limit // 2]:
                 del self[key]

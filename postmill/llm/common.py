@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postmill.session import ship_package
 
+BATCH_BYTES = str(8 << 20)  # of rows that go to a Python task at once
 SLICE_CHARS = 1 << 20  # texts that one step of a Python task handles together
 
 
@@ -57,8 +58,10 @@ def map_texts(
 
 
 def pa_schema(spark: SparkSession, ddl: str) -> pa.Schema:
-    """Arrow schema of a DDL string of plain types; the workers that use it get this package."""
+    """Arrow schema of a DDL string of plain types; the workers that use it get this package, and
+    batches of a size that leaves room for two of them beside an executor's heap."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from postmill.llm.bpe import encoder
+from postmill.llm.bpe import Cache, encoder
 from postmill.llm.common import pa_schema, slices, texts_of
 from postmill.llm.simple8b import read_block, write_block
 from postmill.session import work_dir
@@ -73,6 +73,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     types = pa_schema(spark, DECODED)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Cache.only("files")
         for batch in batches:
             for row in range(batch.num_rows):
                 docs, ends, ids = read_block(batch.column("payload")[row].as_py())
