@@ -341,32 +341,56 @@ def joined(docs: DataFrame, links: DataFrame, found: DataFrame, pairs: DataFrame
 
 
 def spread(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
-    """key, doc_id, component, size of the pieces whose documents lie in several components."""
+    """key, doc_id, component, size and 512 bits of the sketch, of the pieces whose documents lie
+    in several components."""
     rows = pieces.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     rows = rows.withColumn("component", F.coalesce("component", "doc_id"))
     several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    sizes = texts.select("doc_id", "size").dropDuplicates()
-    rows = rows.join(several.filter("low < high").select("key"), "key").join(sizes, "doc_id")
+    rows = rows.join(several.filter("low < high").select("key"), "key").join(brief(texts), "doc_id")
     return stage(rows, "spread")
 
 
-COMPARABLE = "component_a <> component_b AND 100L * least(size_a, size_b) >= 75L * greatest(size_a, size_b)"
+def brief(texts: DataFrame) -> DataFrame:
+    """doc_id, size, and the sketch folded to LEAST_BITS bits in longs b0, b1 ..."""
+    schema = "doc_id long, size int, " + ", ".join(f"b{i} long" for i in range(LEAST_BITS // 64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folded = np.zeros((batch.num_rows, LEAST_BITS // 64), np.uint64)
+            for row, sketch in zip(folded, batch.column("sketch").to_pylist(), strict=True):
+                x = np.frombuffer(sketch, np.uint64)
+                row[:] = np.bitwise_xor.reduce(x.reshape(-1, LEAST_BITS // 64), axis=0)
+            longs = [pa.array(folded[:, i].view(np.int64)) for i in range(LEAST_BITS // 64)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("size"), *longs], names=schema_names)
+
+    schema_names = [f.split()[0] for f in schema.split(", ")]
+    return texts.select("doc_id", "size", "sketch").dropDuplicates().mapInArrow(run, schema)
+
+
+# Part of the join's condition, so that no pair is made that size or sketch rule out.
+COMPARABLE = "component_a <> component_b AND 100L * least(size_a, size_b) >= 75L * greatest(size_a, size_b) AND 7 * (%s) <= size_a + size_b" % (
+    " + ".join(f"bit_count(b{i}_a ^ b{i}_b)" for i in range(LEAST_BITS // 64))
+)
+
+
+def side(rows: DataFrame, name: str) -> DataFrame:
+    """Columns of ``spread`` for one document of a pair."""
+    return rows.select("key", F.col("doc_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in rows.columns if c not in ("key", "doc_id")])
 
 
 def stars(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
     """Each piece's first document with those of comparable size in other components."""
     rows = spread(pieces, texts, found)
-    first = rows.groupBy("key").agg(F.min(F.struct("doc_id", "component", "size")).alias("f"))
-    first = first.select("key", F.col("f.doc_id").alias("a"), F.col("f.component").alias("component_a"), F.col("f.size").alias("size_a"))
-    pairs = rows.withColumnsRenamed({"doc_id": "b", "component": "component_b", "size": "size_b"}).join(first, "key")
-    return pairs.filter(COMPARABLE).select("a", "b").distinct()
+    rest = [c for c in rows.columns if c not in ("key", "doc_id")]
+    first = rows.groupBy("key").agg(F.min(F.struct("doc_id", *rest)).alias("f")).select("key", "f.*")
+    return side(first, "a").join(side(rows, "b"), "key").filter(COMPARABLE).select("a", "b").distinct()
 
 
 def across(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
-    """Any two documents of a piece of comparable size in different components."""
+    """Any two documents of a piece of comparable size and sketch in different components."""
     rows = spread(pieces, texts, found)
-    one, other = (rows.withColumnsRenamed({"doc_id": x, "component": f"component_{x}", "size": f"size_{x}"}) for x in "ab")
-    return one.join(other, "key").filter(F.expr(COMPARABLE) & F.expr("a < b")).select("a", "b").distinct()
+    pairs = side(rows, "a").join(side(rows, "b"), "key").filter(F.expr(COMPARABLE) & F.expr("a < b"))
+    return pairs.select("a", "b").distinct()
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
