@@ -59,7 +59,7 @@ def test_discovery_keeps_duplicates_and_order(spark):
         "data": {"jobs": [{"id": 3}, 1], "topJob": {"id": 4}, "else": [{"id": 9}]},
     }
     df = spark.createDataFrame([(json.dumps(body),), ("[]",), ("nope",)], "body string")
-    sizes = [r[0] for r in df.select(F.size(job_entities("body"))).collect()]
+    sizes = [r[0] for r in df.select(F.size(job_entities(V.parse("body")))).collect()]
     assert sizes == [5, 0, 0]
 
 
