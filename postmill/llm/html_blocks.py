@@ -41,6 +41,8 @@ TAG_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""\s*([^\s"'=<>/]+)(?:\s*=\s*(["']?))?|\s*/""")
 UNQUOTED = re.compile(r"[^\s>]*")
 NAMES = re.compile(r"[a-z]+|[0-9]+")
+# Found in the page as it is: lower-casing some letters changes its length.
+RAW_ENDS = {tag: re.compile(f"</{tag}", re.IGNORECASE | re.ASCII) for tag in RAW}
 
 
 @dataclass
@@ -92,7 +94,7 @@ def _attributes(scan: Scanner, at: int) -> tuple[list[str], int]:
 
 def blocks(page: str) -> list[Block]:
     """All blocks with text, in page order."""
-    scan, lowered = Scanner(page), None
+    scan = Scanner(page)
     found: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     hidden = links = 0
@@ -175,9 +177,8 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in RAW:
             # text up to the end tag, whatever it holds
-            if lowered is None:
-                lowered = page.lower() if len(page.lower()) == size else page
-            end = lowered.find(f"</{tag}", at)
+            m = RAW_ENDS[tag].search(page, at)
+            end = m.start() if m else -1
             if tag not in HIDDEN:
                 say(page[at : size if end < 0 else end])
             if end < 0:

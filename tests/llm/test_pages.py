@@ -80,3 +80,9 @@ def test_odd_rows(spark):
     assert [(r.text, r.n_chars) for r in got[2:6]] == [("", 0)] * 4
     assert got[6] == got[7] and got[6].n_blocks == 3000
     assert extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("letter", ["", "\u0130", "\u1e9e", "\u212a"])
+def test_raw_elements_end_in_any_case(letter):
+    page = f"<TITLE>{letter}</Title><SCRIPT>x</SCRIPT><style>y</STYLE><p>The article {letter} goes on.</p>"
+    assert [b.text for b in blocks(page)] == [" ".join(f"The article {letter} goes on.".split())]
