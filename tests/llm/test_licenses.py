@@ -2,12 +2,14 @@
 
 import math
 import random
+import textwrap
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from postmill.llm import license_scan as scan
+from postmill.llm import license_texts as texts
 from postmill.llm.queries import QUERIES
 from tests.llm.conftest import SF
 
@@ -100,3 +102,65 @@ def test_query_agrees_with_plain_cosines(spark):
         lines = docs[r.doc_id].text.split("\n")
         best = max((plain_best(x, frequencies, len(docs)) for x in [*lines, docs[r.doc_id].text]), key=lambda b: b[0])
         assert r.own_license == (best[1] if best[0] >= scan.THRESHOLD else None)
+
+
+def wrapped(text, lead="", width=60):
+    return "\n".join(lead + x for x in textwrap.wrap(text, width))
+
+
+def gnu(name, version, what="program"):
+    return (
+        f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} Public License as "
+        f"published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+    )
+
+
+BSD_3 = f"{texts.CLAUSES_BSD} {texts.ENDORSE_BSD} {texts.REST_BSD}".replace("the copyright holder nor", "Acme nor")
+OPENING = """                  GNU {} PUBLIC LICENSE
+                       Version {}, {}
+
+ Copyright (C) Free Software Foundation, Inc.
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+"""
+BLOCKS = [
+    ("BSD-3-Clause", "// Copyright 2009 The Go Authors. All rights reserved.\n// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file."),
+    ("BSD-3-Clause", wrapped(f"Copyright (c) 2020 Acme. All rights reserved. {BSD_3}")),
+    ("BSD-2-Clause", wrapped(f"Copyright (c) 2020 Acme. {texts.CLAUSES_BSD} {texts.REST_BSD}", " * ")),
+    ("MIT", f"Copyright (c) 2020 Acme\n\n{texts.GRANT_MIT}\n\n{wrapped(texts.REST_MIT)}"),
+    ("MIT", wrapped(texts.GRANT_MIT, "# ", 30)),
+    ("ISC", wrapped(f"Copyright (c) 2020 Acme {texts.ISC} {texts.REST_ISC}")),
+    ("Apache-2.0", wrapped("Copyright 2020 Acme " + texts.APACHE_HEADER, "# ", 40)),
+    ("Apache-2.0", "        Apache License\n   Version 2.0, January 2004\n  http://www.apache.org/licenses/\n\nTERMS AND CONDITIONS"),
+    ("GPL-2.0", wrapped(gnu("General", "2"), "# ")),
+    ("GPL-3.0", wrapped(gnu("General", "3"), "// ")),
+    ("GPL-3.0", gnu("General", "3")),
+    ("LGPL-2.1", wrapped(gnu("Lesser General", "2.1", "library"), " * ")),
+    ("LGPL-3.0", wrapped(gnu("Lesser General", "3"), " * ")),
+    ("AGPL-3.0", wrapped(gnu("Affero General", "3"), " * ")),
+    ("GPL-2.0", OPENING.format("GENERAL", "2", "June 1991")),
+    ("LGPL-2.1", OPENING.format("LESSER GENERAL", "2.1", "February 1999")),
+    ("AGPL-3.0", OPENING.format("AFFERO GENERAL", "3", "29 June 2007")),
+    ("MPL-2.0", wrapped(texts.MPL_HEADER, " * ", 40)),
+    ("CC-BY-4.0", "Attribution 4.0 International\n\nCreative Commons Attribution 4.0 International Public\nLicense\n\nBy exercising the Licensed Rights"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License."),
+]
+
+
+@pytest.mark.parametrize(("licence", "block"), BLOCKS)
+def test_blocks_are_found_wherever_lines_end(licence, block):
+    notices = scan.Notices([30 if len(t) < 4 else 0 for t in sorted(scan.VOCABULARY)], 10_000)
+    for text in (block, f"{block}\n\n" + "plain words of a program\n" * 500, "plain words of a program\n" * 5000 + block):
+        assert notices.read(text)[0] == licence
+
+
+def test_blocks_without_their_names_or_versions_are_none():
+    notices = scan.Notices([30 if len(t) < 4 else 0 for t in sorted(scan.VOCABULARY)], 10_000)
+    for text in (wrapped(gnu("General", "9")), wrapped(gnu("Strange", "3")), "This program is free software\nand that is all."):
+        assert notices.read(text)[0] is None
+
+
+def test_whole_licence_files_are_inherited(spark):
+    files = [(1, "a/LICENSE", wrapped(BSD_3)), (2, "a/b/x.go", "code"), (3, "c/COPYING", OPENING.format("LESSER GENERAL", "2.1", "February 1999")), (4, "c/y.c", "code")]
+    got = scan.licenses(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()
+    assert {r.doc_id: r.license for r in got} == {1: "BSD-3-Clause", 2: "BSD-3-Clause", 3: "LGPL-2.1", 4: "LGPL-2.1"}
