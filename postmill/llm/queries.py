@@ -13,6 +13,7 @@ from postmill.llm.common import table
 from postmill.llm.decontaminate import leaks
 from postmill.llm.license_scan import licenses
 from postmill.llm.mixing import mix
+from postmill.llm.periodic_runs import periodic_runs, planted, run_digests
 from postmill.llm.personal_data import find_personal_data
 from postmill.llm.quality_rules import judge
 from postmill.llm.secret_scan import find_secrets
@@ -158,3 +159,9 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), limit=512)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return run_digests(periodic_runs(docs.withColumn("text", planted(F.col("text"), F.col("doc_id")))))
