@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.block_labeller import extract
 from postmill.llm.common import table
+from postmill.llm.conversation_trie import regrouped_trie
 from postmill.llm.decontaminate import leaks
 from postmill.llm.license_scan import licenses
 from postmill.llm.mixing import mix
@@ -165,3 +166,53 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return run_digests(periodic_runs(docs.withColumn("text", planted(F.col("text"), F.col("doc_id")))))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return regrouped_trie(table(spark, sf_dir, "conversations"))
+
+
+# CRC-32 by its table of 256 remainders, which the first two statements work out.
+SQL["op12_conversation_trie"] = r"""
+WITH remainders AS (
+  SELECT b, list_reduce(list_prepend(b, range(8)),
+                        lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS r
+  FROM range(256) AS t(b)
+), crc AS (
+  SELECT list(r ORDER BY b) AS r FROM remainders
+), turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) - 1 AS place,
+         md5(coalesce(role, '')) || md5(coalesce(text, '')) AS word, strlen(coalesce(text, '')) AS n_bytes
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS head,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ord(x)::BIGINT)),
+                         lambda c, x: xor(c >> 8, r[(xor(c, x) & 255) + 1])), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc
+), rebuilt AS (
+  SELECT ids.conv_id, 0 AS part, place, word, n_bytes FROM ids JOIN turns ON turns.conv_id = ids.head AND place < h
+  UNION ALL
+  SELECT ids.conv_id, 1, place, word, n_bytes FROM ids JOIN turns ON turns.conv_id = ids.conv_id AND place >= h
+), prefixes AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(word, '') OVER w AS path, n_bytes,
+         row_number() OVER w = count(*) OVER (PARTITION BY conv_id) AS ends
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)
+  UNION ALL
+  SELECT conv_id, 0, '', 0, conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM ids
+), nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, max(n_bytes) AS n_bytes,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, path
+), children AS (
+  SELECT depth - 1 AS depth, path[:(depth - 1) * 64] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), family AS (
+  SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children USING (depth, path)
+), below AS (
+  SELECT p.depth, p.path, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum((f.n_convs - 1) * f.n_bytes)::BIGINT AS saved_tokens
+  FROM family AS f JOIN prefixes AS p ON p.conv_id = f.conv_id AND p.depth <= f.depth GROUP BY ALL
+)
+SELECT f.conv_id, f.depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM family AS f JOIN below USING (depth, path)
+LEFT JOIN nodes AS up ON f.depth > 0 AND up.depth = f.depth - 1 AND up.path = f.path[:(f.depth - 1) * 64]
+"""
