@@ -21,6 +21,7 @@ from postmill.llm.secret_scan import find_secrets
 from postmill.llm.shingle_join import similar_documents
 from postmill.llm.token_counts import count_tokens
 from postmill.llm.token_files import encode_corpus
+from postmill.llm.toxicity import toxicity
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -216,3 +217,8 @@ SELECT f.conv_id, f.depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children
 FROM family AS f JOIN below USING (depth, path)
 LEFT JOIN nodes AS up ON f.depth > 0 AND up.depth = f.depth - 1 AND up.path = f.path[:(f.depth - 1) * 64]
 """
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
