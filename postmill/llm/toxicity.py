@@ -55,7 +55,8 @@ SECOND_PERSON = frozenset(
 LETTERS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l"})
 
 WORD = re.compile(r"[^\W\d_]+")
-BROKEN = re.compile(r"[0-9@$!|]*[^\W\d_]+(?:[0-9@$!|*+_.-]+[^\W\d_]+)+")
+# possessive, and only from the beginning of a stretch, so that no text takes more than one pass
+BROKEN = re.compile(r"(?<![^\W_])(?<![@$!|])[0-9@$!|]*+[^\W\d_]++(?:[0-9@$!|*+_.-]++[^\W\d_]++)++")
 SPELLED = re.compile(r"(?<!\w)\w(?:[ .*_-]\w(?!\w)){3,}")
 STRETCHED = re.compile(r"([^\W\d_])\1{2,}")
 NO_LETTERS = re.compile(r"[\W\d_]+")
