@@ -12,6 +12,7 @@ from postmill.operators import agreements as AG
 from postmill.operators import crawls as CR
 from postmill.operators import html as H
 from postmill.operators import normalize as N
+from postmill.operators import patterns as PT
 from postmill.operators import report as R
 from postmill.operators import vectors as VC
 from postmill.plans.q_reports import UPSERTED, _keyed, _upsert_shown
@@ -45,6 +46,18 @@ def block_reason(i):
     )
 
 
+@query(
+    "url_labels",
+    "E9",
+    ["capture_log", "url_patterns"],
+    """SELECT seq, label, priority FROM capture_log LEFT JOIN (SELECT url, arg_min(label, priority) AS label, min(priority) AS priority
+    FROM (SELECT DISTINCT url FROM capture_log) JOIN url_patterns ON regexp_matches(url, pattern) GROUP BY url) USING (url)""",
+)
+def url_labels(i):
+    """Captures with the first of the table's patterns that their URL matches."""
+    return PT.first_labels(i.view("capture_log"), "url", i.view("url_patterns")).select("seq", "label", "priority")
+
+
 @query(
     "routed_captures",
     "A9 D4 D6",

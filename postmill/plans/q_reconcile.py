@@ -11,6 +11,7 @@ from postmill.functions import variants as V
 from postmill.operators import discovery as DC
 from postmill.operators import filters as FL
 from postmill.operators import match as MT
+from postmill.operators import near_text as NT
 from postmill.operators import quality as Q
 from postmill.operators import reconcile as RC
 from postmill.operators import report as R
@@ -387,3 +388,28 @@ def url_status(i):
 )
 def keyword_search(i):
     return FL.search(i.view("postings"), "Engineer years", "Berlin", 25).select("seq", "title", "location")
+
+
+# ---- nearly equal descriptions, whatever the company ----
+
+NEAR_TEXT = r"""w AS (SELECT seq, source, list_filter(regexp_split_to_array(translate(coalesce(description, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM postings),
+s AS (SELECT seq, source, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+c AS (SELECT min(seq) AS id, list_sort(s) AS s FROM s WHERE len(s) > 0 GROUP BY list_sort(s)),
+u AS (SELECT id, len(s) AS n, unnest(s) AS shingle FROM c),
+links AS (SELECT a.id AS x, b.id AS y FROM u a JOIN u b ON a.shingle = b.shingle AND a.id <> b.id
+  GROUP BY ALL HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach(id, other) AS (SELECT x, y FROM links UNION SELECT reach.id, links.y FROM reach JOIN links ON reach.other = links.x),
+grouped AS (SELECT s.seq, s.source, len(s.s) AS n_shingles, coalesce(least(c.id, (SELECT min(other) FROM reach WHERE reach.id = c.id)), s.seq) AS group_id
+  FROM s LEFT JOIN c ON c.s = list_sort(s.s))"""
+
+
+@query(
+    "near_duplicate_descriptions",
+    "E6",
+    ["postings"],
+    f"""WITH RECURSIVE {NEAR_TEXT} SELECT seq, source, n_shingles, group_id, count(*) OVER g AS group_size, min(source) OVER g < max(source) OVER g AS several_sources
+    FROM grouped WINDOW g AS (PARTITION BY group_id)""",
+)
+def near_duplicate_descriptions(i):
+    return NT.near_duplicate_descriptions(i.view("postings"))

@@ -327,6 +327,20 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
             f"{CARDS} AS html",
         ],
     ),
+    "url_patterns": (
+        "supplier",
+        [
+            "s_suppkey AS priority",
+            "concat('rule-', CAST(s_suppkey % 400 AS STRING)) AS label",
+            "CASE s_suppkey % 8 WHEN 0 THEN concat('linkedin[.]com/jobs/view/', CAST(s_suppkey % 60 AS STRING), '$') "
+            "WHEN 1 THEN concat('/api/offers/o-', CAST(s_suppkey % 90 AS STRING), '([?]|$)') "
+            "WHEN 2 THEN concat('jobs/view/(', CAST(s_suppkey % 50 AS STRING), '|', CAST(s_suppkey % 7 AS STRING), ')$') "
+            "WHEN 3 THEN concat('offers[?]limit=', CAST(s_suppkey % 9 AS STRING)) "
+            "WHEN 4 THEN concat('never-', CAST(s_suppkey AS STRING), '/seen') "
+            "WHEN 5 THEN concat('https?://[a-z]+.linkedin.com/.*', CAST(s_suppkey % 30 AS STRING), '$') "
+            "WHEN 6 THEN concat('(uas|authwall).*', CAST(s_suppkey % 3 AS STRING), '?$') ELSE concat('^x', CAST(s_suppkey AS STRING)) END AS pattern",
+        ],
+    ),
     "clients": (
         "customer",
         [
@@ -360,6 +374,8 @@ def with_views(names: list[str], sql: str) -> str:
     """Prefix a DuckDB query with the CTEs it needs."""
     ctes = ", ".join(view_sql(n) for n in names)
     rest = sql.strip()
+    if rest.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes}, {rest[15:]}"
     if rest.upper().startswith("WITH "):
         return f"WITH {ctes}, {rest[5:]}"
     return f"WITH {ctes} {rest}"
