@@ -10,6 +10,7 @@ from postmill.functions import urls as U
 from postmill.functions import variants as V
 from postmill.operators import discovery as DC
 from postmill.operators import filters as FL
+from postmill.operators import inverted as IX
 from postmill.operators import match as MT
 from postmill.operators import near_text as NT
 from postmill.operators import quality as Q
@@ -20,6 +21,7 @@ from postmill.operators.normalize import normalize_discoveries
 from postmill.plans.q_functions import ORIGIN, PROVIDER
 from postmill.plans.q_shapes import COMEET_ITEMS, DISCOVERED, comeet_items, discovery_items
 from postmill.plans.registry import Inputs, query
+from postmill.session import work_dir
 from postmill.sources.captures import scan_captures
 
 RECONCILED = f"""classified AS (SELECT *, lower(company_name) AS company_key, {PROVIDER} AS ats_provider, {ORIGIN} AS found_origin FROM postings),
@@ -390,6 +392,42 @@ def keyword_search(i):
     return FL.search(i.view("postings"), "Engineer years", "Berlin", 25).select("seq", "title", "location")
 
 
+KEYWORDS = """SELECT seq, title, location FROM postings WHERE contains(lower(title || ' ' || description), 'engineer') AND contains(lower(title || ' ' || description), 'years')
+    AND contains(lower(location), 'berlin') ORDER BY seq"""
+
+
+@query("keyword_search_indexed", "D15", ["postings"], KEYWORDS)
+def keyword_search_indexed(i):
+    """The same search through trigram indexes, without a cap."""
+    rows, texts, places = i.view("postings"), work_dir(i.spark, "text-index"), work_dir(i.spark, "place-index")
+    IX.write_index(rows, "seq", IX.trigrams(IX.search_text()), texts)
+    IX.write_index(rows, "seq", IX.trigrams(F.lower("location")), places)
+    found = IX.search_indexed(rows, "seq", texts, "Engineer years", "Berlin", None, places)
+    return found.select("seq", "title", "location")
+
+
+@query(
+    "skills_indexed",
+    "D13",
+    None,
+    """SELECT 'contains' AS asked, p_partkey FROM part WHERE list_contains(string_split(p_name, ' '), 'red')
+    UNION ALL SELECT 'overlap', p_partkey FROM part WHERE list_has_any(string_split(p_name, ' '), ['blue', 'ring'])
+    UNION ALL SELECT 'all', p_partkey FROM part WHERE list_has_all(string_split(p_name, ' '), ['red', 'widget'])""",
+)
+def skills_indexed(i):
+    """Containment and overlap through an index of the elements; half of the rows arrive later."""
+    parts = i.table("part").withColumn("required_skills", F.split("p_name", " "))
+    path, skills = work_dir(i.spark, "skills-index"), IX.elements("required_skills")
+    IX.write_index(parts.filter("p_partkey % 2 = 0"), "p_partkey", skills, path)
+    IX.extend_index(parts.filter("p_partkey % 2 = 1"), "p_partkey", skills, path)
+    found = {
+        "contains": IX.rows_with(parts, "p_partkey", "required_skills", path, "red"),
+        "overlap": IX.rows_with_any(parts, "p_partkey", "required_skills", path, ["blue", "ring"]),
+        "all": IX.rows_with_all(parts, "p_partkey", "required_skills", path, ["red", "widget"]),
+    }
+    return RC.union_all(*[rows.select(F.lit(name).alias("asked"), "p_partkey") for name, rows in found.items()])
+
+
 # ---- nearly equal descriptions, whatever the company ----
 
 NEAR_TEXT = r"""w AS (SELECT seq, source, list_filter(regexp_split_to_array(translate(coalesce(description, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM postings),

@@ -53,3 +53,25 @@ def differences(spark_df: pd.DataFrame, sql_df: pd.DataFrame) -> str | None:
             bad = {n: (p, q) for n, p, q in zip(names, x, y, strict=True) if p != q}
             return f"values {bad} in spark {repr(x)[:300]}"
     return None
+
+
+def scan_metrics(df) -> dict[str, int]:
+    """Metrics of the file scans of a DataFrame that was collected, summed."""
+    found: dict[str, int] = {}
+
+    def walk(node) -> None:
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            node = node.executedPlan()
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        if node.nodeName().startswith("Scan parquet"):
+            metrics = node.metrics()
+            for name in ("numOutputRows", "numPartitions", "numFiles"):
+                if metrics.contains(name):
+                    found[name] = found.get(name, 0) + metrics.apply(name).value()
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
