@@ -29,6 +29,28 @@ def origin_distribution(df: DataFrame) -> DataFrame:
     return distribution(df, "job_origin")
 
 
+LEVELS = {0: "pair", 1: "provider", 3: "all"}
+
+
+def provider_origin_rollup(df: DataFrame) -> DataFrame:
+    """Counts per (provider, origin), per provider and in all, from one pass; shares of the parent level.
+
+    ``level`` tells a subtotal from a group whose provider or origin is null. The parent's count comes from
+    the aggregated rows, of which there are providers x origins, through one more grouping of those.
+    """
+    counts = df.rollup("ats_provider", "job_origin").agg(F.count("*").alias("n"), F.grouping_id().alias("gid"))
+    # rows of a provider and its subtotal differ in gid alone; the whole is the parent of all subtotals
+    own = Window.partitionBy(F.when(F.col("gid") <= 1, F.struct("ats_provider")))
+    subtotal = F.max(F.when(F.col("gid") == 1, F.col("n"))).over(own)
+    whole = F.max(F.when(F.col("gid") == 3, F.col("n"))).over(Window.partitionBy())
+    parent = F.when(F.col("gid") == 0, subtotal).otherwise(whole)
+    level = F
+    for gid, name in LEVELS.items():
+        level = level.when(F.col("gid") == gid, name)
+    share = F.col("n") / parent
+    return counts.select("ats_provider", "job_origin", level.alias("level"), "n", (share * 100).alias("pct_of_parent"))
+
+
 def ranked(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
     """Most frequent first, ties by key."""
     return counts.orderBy(F.desc(n), F.asc(key))

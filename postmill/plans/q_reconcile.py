@@ -47,6 +47,18 @@ def flagship(i):
     return R.ranked(R.provider_distribution(reconciled(i)), "ats_provider")
 
 
+@query(
+    "provider_origin_rollup",
+    "F1 F2",
+    ["postings"],
+    f"""WITH {RECONCILED}, r AS (SELECT ats_provider, job_origin, count(*) AS n, grouping(ats_provider, job_origin) AS gid FROM reconciled GROUP BY ROLLUP (ats_provider, job_origin))
+    SELECT ats_provider, job_origin, CASE gid WHEN 0 THEN 'pair' WHEN 1 THEN 'provider' ELSE 'all' END AS level, n,
+      100.0 * n / CASE WHEN gid = 0 THEN (SELECT p.n FROM r p WHERE p.gid = 1 AND p.ats_provider IS NOT DISTINCT FROM r.ats_provider) ELSE (SELECT n FROM r WHERE gid = 3) END AS pct_of_parent FROM r""",
+)
+def provider_origin_rollup(i):
+    return R.provider_origin_rollup(reconciled(i))
+
+
 @query("supersede", "E3 H1", ["postings"], f"WITH {RECONCILED} SELECT seq, company_key, job_origin, phase FROM superseded")
 def supersede(i):
     return RC.supersede(i.discovered, i.fetched).select("seq", "company_key", "job_origin", "phase")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.operators import filters as FL
+from postmill.operators import layout as LO
 from postmill.operators import normalize as N
 from postmill.operators import quality as Q
 from postmill.operators import reconcile as RC
@@ -364,6 +365,23 @@ def column_lookup(i):
     return rows.select("seq")
 
 
+@query(
+    "column_lookup_indexed",
+    "D12",
+    ["postings"],
+    f"""SELECT seq, job_id FROM postings WHERE job_id >= 'J2' AND job_id <= 'J7' AND make_timestamp(created_at_ms * 1000) >= TIMESTAMP '2024-01-01 01:00:00'
+      AND lower(replace(company_name, ' ', '-')) IN ('company-0', 'company-3')""",
+)
+def column_lookup_indexed(i):
+    """The table is written in Morton order of two columns, with Bloom filters on the company, and read back."""
+    path = work_dir(i.spark, "clustered")
+    rows = jobs(i).select("seq", "job_id", "company_slug", "published_date")
+    LO.write_clustered(rows, path, ["job_id", "published_date"], {"company_slug": 10_000}, files=16)
+    table = i.spark.read.schema(rows.schema).parquet(path)
+    published = (F.lit("2024-01-01 01:00:00").cast("timestamp"), None)
+    return FL.lookup(table, job_id=("J2", "J7"), published_date=published, company_slug=["company-0", "company-3"]).select("seq", "job_id")
+
+
 @query(
     "skills_contains",
     "D13",
