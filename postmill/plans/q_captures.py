@@ -14,6 +14,7 @@ from postmill.operators import html as H
 from postmill.operators import normalize as N
 from postmill.operators import patterns as PT
 from postmill.operators import report as R
+from postmill.operators import vector_join as VJ
 from postmill.operators import vectors as VC
 from postmill.plans.q_reports import UPSERTED, _keyed, _upsert_shown
 from postmill.plans.q_shapes import DISCOVERED, FEEDS, SHOWN, discovery_items
@@ -346,6 +347,49 @@ def knn_ivf(i):
     return _nearest_shown(_searched(i, _lists(i), 3))
 
 
+def _fiftieth(i: Inputs) -> DataFrame:
+    return i.table("embeddings").filter("vec_id % 50 = 0").select("vec_id", "embedding")
+
+
+@query(
+    "knn_join",
+    "M1",
+    None,
+    """SELECT query_id, id, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM (
+      SELECT q.vec_id AS query_id, e.vec_id AS id, list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS similarity,
+      row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 12) DESC, e.vec_id) AS rank
+      FROM embeddings e CROSS JOIN embeddings q WHERE q.vec_id % 50 = 0) WHERE rank <= 10""",
+)
+def knn_join(i):
+    """Every fiftieth row as a query against all rows, exact, as a join of packets."""
+    rows = VJ.search_exact(i.table("embeddings"), "vec_id", "embedding", _fiftieth(i), "vec_id", "embedding", 10, 64)
+    return rows.select("query_id", "id", F.round("similarity", 6).alias("similarity"), "rank")
+
+
+LISTS, PROBES = 64, 40
+
+
+@query(
+    "knn_recall",
+    "M2",
+    None,
+    "SELECT count(*) AS n_queries, 10 * count(*) AS n_exact, true AS enough FROM embeddings WHERE vec_id % 50 = 0",
+)
+def knn_recall(i):
+    """Recall of the search by lists and codes for every fiftieth row: at least 0.9 of the exact ten.
+
+    The vectors have next to no clusters, so the neighbours lie in some two thirds of the lists.
+    """
+    rows, path = i.table("embeddings"), work_dir(i.spark, "codes")
+    centres = stage(VC.train_lists(rows, "embedding", LISTS), "centres")
+    books = VJ.train_codebooks(rows, "vec_id", "embedding")
+    VJ.write_codes(rows, "vec_id", "embedding", centres, books, path)
+    found = VJ.search_lists(path, centres, books, rows, "vec_id", "embedding", _fiftieth(i), "vec_id", "embedding", 10, PROBES)
+    exact = VJ.search_exact(rows, "vec_id", "embedding", _fiftieth(i), "vec_id", "embedding", 10, 64)
+    per_query = VC.recall(exact, found)
+    return per_query.agg(F.count("*").alias("n_queries"), F.sum("n_exact").alias("n_exact"), (F.avg("recall") >= 0.9).alias("enough"))
+
+
 # ---- agreements ----
 
 
