@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postmill.operators import claims as CL
 from postmill.operators import filters as FL
 from postmill.operators import layout as LO
 from postmill.operators import normalize as N
@@ -24,7 +25,7 @@ from postmill.plans.q_shapes import (
 )
 from postmill.plans.registry import Inputs, query, stamp
 from postmill.schemas import FIELD_GROUPS, POSTING
-from postmill.session import work_dir
+from postmill.session import stage, work_dir
 from postmill.sources import sinks as SK
 from postmill.sources.payloads import payload_totals
 
@@ -337,6 +338,28 @@ for _n, (_w, _kw) in _QUEUES.items():
     _queue(_n, _w, _kw)
 
 
+@query(
+    "queue_claims",
+    "M3 D11",
+    ["postings"],
+    f"""WITH q AS (SELECT seq, row_number() OVER (ORDER BY seq) AS rn FROM ({STATES}) WHERE job_status = 'active' AND processing_status = 'processed' AND NOT embeddings_generated),
+    open AS (SELECT * FROM q WHERE rn > 20 OR seq % 4 > 1), again AS (SELECT *, row_number() OVER (ORDER BY seq) AS place FROM open)
+    SELECT seq AS id, 'third' AS claim_id, CASE WHEN rn <= 40 THEN 2 ELSE 1 END AS tries FROM again WHERE place <= 50""",
+)
+def queue_claims(i):
+    """Two claims of twenty, one acknowledged in part; an hour later the leases are over and a third takes fifty."""
+    path = work_dir(i.spark, "claims")
+    ids = stage(FL.queue(queued(i), "embeddings").select(F.col("seq").alias("id")), "queue")
+    now, later = (F.lit(f"2024-06-01 {h}:00:00").cast("timestamp") for h in ("12", "13"))
+    first = CL.claim(ids, path, "first", "a", 20, now, 600)
+    CL.claim(ids, path, "second", "b", 20, now, 600)
+    done = stage(first.filter("id % 4 <= 1").select("id"), "done")
+    CL.acknowledge(done, path, "first", now)
+    CL.claim(ids.join(done, "id", "left_anti"), path, "third", "c", 50, later, 600)
+    held = CL.state(i.spark, path).filter(F.col("lease_until") > later)
+    return held.select("id", "claim_id", "tries")
+
+
 @query(
     "next_scraped_batch",
     "D11 G7",

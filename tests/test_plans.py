@@ -6,7 +6,7 @@ from postmill.plans.catalog import QUERIES, Inputs
 
 SF = "/root/testdata/sf0.001"
 # these write files or train a model while they are built
-EAGER = ("_sink", "stream_", "upsert_table", "knn_ivf", "knn_recall", "_indexed")
+EAGER = ("_sink", "stream_", "upsert_table", "knn_ivf", "knn_recall", "_indexed", "queue_claims")
 PYTHON = {
     "page_extract",
     "page_cards",
