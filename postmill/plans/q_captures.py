@@ -23,6 +23,7 @@ from postmill.plans.views import VIEWS
 from postmill.session import stage, work_dir
 from postmill.sources import captures as SC
 from postmill.streaming import jobs as ST
+from postmill.streaming import stateful as SS
 
 # ---- capture log ----
 
@@ -487,6 +488,28 @@ def stream_block_latch(i):
     return ST.latched(i.spark, out, latches).select("crawl_id", "seq")
 
 
+@query(
+    "stream_state_dedup",
+    "K2",
+    ["postings"],
+    "SELECT lower(company_name) AS company_key, job_id, min(seq) AS seq FROM postings GROUP BY ALL",
+)
+def stream_state_dedup(i):
+    """The running dedup by keyed state instead of a table of keys."""
+    out, check = work_dir(i.spark, "state-dedup"), work_dir(i.spark, "state-dedup-checkpoint")
+    rows = _stream(i, "postings").select("company_name", "job_id", "seq")
+    SS.stream_first_of_key(rows, out, check, ["seq"]).awaitTermination()
+    return i.spark.read.parquet(out).select("company_key", "job_id", "seq")
+
+
+@query("stream_state_latch", "K3", ["capture_log"], LATCH)
+def stream_state_latch(i):
+    """The block latch by keyed state."""
+    out, check = work_dir(i.spark, "state-latch"), work_dir(i.spark, "state-latch-checkpoint")
+    SS.stream_latch(_stream(i, "capture_log"), out, check).awaitTermination()
+    return SS.open_rows(i.spark, out)
+
+
 @query("stream_upsert", "K4 A15 L7", ["postings"], f"WITH {UPSERTED}")
 def stream_upsert(i):
     path = work_dir(i.spark, "ats_jobs")
