@@ -18,13 +18,22 @@ from pyspark.sql import functions as F
 _PLAIN = {"string", "long", "integer", "short", "byte", "double", "float", "boolean", "timestamp", "date"}
 
 
+def free_name(wanted: str, *frames: DataFrame) -> str:
+    """A column name that none of the DataFrames has (names are compared without case)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join ``left`` with ``right``, which has at most one row per key."""
     # the further join column is a function of the key, which the optimizer does not know;
     # rows without a key get a hash of the row (no random number: a task that is run again
     # sends its rows the same way)
-    row = [f.name for f in left.schema if f.dataType.typeName() in _PLAIN]
+    row = [f"`{f.name}`" for f in left.schema if f.dataType.typeName() in _PLAIN]
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     slot = F.when(no_key, F.xxhash64(*row)).otherwise(F.xxhash64(*keys))
-    looked_up = right.withColumn("_slot", F.xxhash64(*keys))
-    return left.withColumn("_slot", slot).join(looked_up, [*keys, "_slot"], how).drop("_slot")
+    name = free_name("_slot", left, right)
+    looked_up = right.withColumn(name, F.xxhash64(*keys))
+    return left.withColumn(name, slot).join(looked_up, [*keys, name], how).drop(name)

@@ -20,6 +20,5 @@ def test_matches_sql(spark, con, name):
     assert differences(got, con.execute(query.sql).df()) is None
 
 
-@pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if not q.sql])
-def test_runs(spark, name):
-    assert QUERIES[name].run(Inputs(spark, SF)).count() > 0
+def test_every_query_has_its_sql():
+    assert [n for n, q in QUERIES.items() if not q.sql] == []

@@ -224,3 +224,11 @@ def test_hot_company_of_a_registered_query_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_lookup_keeps_a_column_named_like_its_own(spark):
+    left = spark.createDataFrame([(1, 7, 8), (None, 9, 10)], "k int, _slot int, `a.b` int")
+    right = spark.createDataFrame([(1, 5)], "k int, v int")
+    rows = JN.lookup(left, right, ["k"])
+    assert rows.columns == ["k", "_slot", "a.b", "v"]
+    assert sorted(map(tuple, rows.collect()), key=repr) == [(1, 7, 8, 5), (None, 9, 10, None)]
