@@ -43,7 +43,7 @@ from pyspark.sql.window import Window
 
 from postmill.llm.common import pa_schema, slices, texts_of
 from postmill.llm.components import components
-from postmill.operators.joins import lookup
+from postmill.operators.joins import free_name, lookup
 from postmill.session import stage
 
 WORDS = 5
@@ -394,20 +394,43 @@ def across(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group of similar ones (the smallest id), all its columns as they are.
+    """One row of each group of similar texts, that of the smallest id; all its columns as they are.
 
-    Of rows that share that id the first by text stays. Documents without words and rows without
-    an id are all kept: they resemble nothing.
+    Rows are judged by their own texts: texts that share an id and resemble nothing are all kept. Of
+    rows of one id that resemble each other one stays. Rows without words and rows without an id
+    are all kept. Extra columns may have any names.
     """
-    gone = (F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))
-    found = similar_documents(docs).filter("doc_id is not null").groupBy("doc_id")
-    found = found.agg(F.max(gone).alias("_gone"), F.count_if(F.col("n_shingles") > 0).alias("_times"))
-    found = stage(found.filter("_gone or _times > 1"), "found")
-    few = found.count() <= FEW_IDS
-    marked = docs.join(F.broadcast(found), "doc_id", "left") if few else lookup(docs, found, ["doc_id"])
-    once = marked.filter("_times is null").select(*docs.columns)
-    several = marked.filter("not _gone and _times > 1")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return once.unionByName(several.withColumn("_place", place).filter("_place = 1").select(*docs.columns))
-
-
+    doc_id = F.col("doc_id").cast("long")
+    times = docs.select(doc_id.alias("doc_id")).filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    shared = stage(times.filter("n > 1").select("doc_id"), "shared-ids")
+    row, mark = free_name("row", docs), free_name("mark", docs)
+    rows = docs.withColumn(row, doc_id)
+    names = F.lit(None).cast("long")
+    if not shared.isEmpty():
+        # texts of a shared id get an id of their own, below all that documents have
+        hashed = -1 - F.xxhash64(doc_id, F.coalesce(F.col("text").cast("string"), F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1).cast("long"))
+        marked = lookup(rows, shared.select(F.col("doc_id").alias(row), F.lit(True).alias(mark)), [row])
+        rows = marked.withColumn(row, F.when(F.col(mark), hashed).otherwise(F.col(row)))
+        names = F.when(F.col(mark), doc_id)
+    else:
+        rows = rows.withColumn(mark, F.lit(None).cast("boolean"))
+    own = rows.select(F.col(row).alias("row"), names.alias("doc_id")).filter("doc_id is not null").distinct()
+    found = similar_documents(rows.select(F.col(row).alias("doc_id"), "text")).filter("doc_id is not null and n_shingles > 0")
+    members = stage(found.select(F.col("doc_id").alias("row"), "component_id").distinct(), "members")
+    # a group of one has nothing to give up
+    members = members.join(members.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "component_id")
+    first = members.join(stage(own, "own-ids"), "row", "left").withColumn("doc_id", F.coalesce("doc_id", "row"))
+    first = stage(first.select("component_id", "row", "doc_id"), "grouped")
+    kept = first.groupBy("component_id").agg(F.min(F.struct("doc_id", "row")).alias("kept")).select("component_id", F.col("kept.row").alias("kept"))
+    gone = first.join(kept, "component_id").filter("row <> kept").select(F.col("row").alias(row))
+    gone = stage(gone, "gone")
+    far = free_name("gone", rows)
+    dropped = gone.withColumn(far, F.lit(True))
+    rows = rows.join(F.broadcast(dropped), row, "left") if gone.count() <= FEW_IDS else lookup(rows, dropped, [row])
+    rows = rows.filter(F.col(far).isNull())
+    worded = F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]")
+    once = F.col(mark).isNull() | ~F.coalesce(worded, F.lit(False))
+    place = free_name("place", rows)
+    repeated = rows.filter(~once).withColumn(place, F.row_number().over(Window.partitionBy(row).orderBy(F.col("text"))))
+    kept_rows = rows.filter(once).select(*[f"`{c}`" for c in docs.columns])
+    return kept_rows if shared.isEmpty() else kept_rows.unionByName(repeated.filter(F.col(place) == 1).select(*[f"`{c}`" for c in docs.columns]))
