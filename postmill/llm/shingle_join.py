@@ -41,10 +41,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from postmill.llm.bpe import Cache
 from postmill.llm.common import pa_schema, slices, texts_of
 from postmill.llm.components import components
 from postmill.operators.joins import free_name, lookup
-from postmill.session import stage
+from postmill.session import stage, unstage
 
 WORDS = 5
 RESERVE = 24  # pieces that are left out by their true frequency, at most
@@ -190,6 +191,8 @@ def dealt(docs: DataFrame) -> DataFrame:
     types = pa_schema(docs.sparkSession, ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Cache.only("shingles")  # a reused worker holds what stages before have left
+        pa.default_memory_pool().release_unused()
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             for part, texts in slices(batch):
@@ -306,14 +309,17 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     dealt_sets = asked.mapInArrow(sets, ASKS).repartition("hub", "slot").sortWithinPartitions("hub", "slot", "member")
-    return stage(dealt_sets.mapInArrow(check, "a long, b long"), "links")
+    links = stage(dealt_sets.mapInArrow(check, "a long, b long"), "links")
+    unstage(asks)
+    return links
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per row of ``docs``."""
     groups = stage(grouped(dealt(docs)), "groups")
-    texts = groups.filter("size is not null")
+    texts = stage(groups.filter("size is not null"), "texts")
     pieces = stage(rarest(groups.filter("size is null")), "pieces")
+    unstage(groups)
     equal = texts.filter("size > 0 and doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     # one partner for each document, the first of all that share a piece with it
     firsts = pieces.groupBy("key").agg(F.min("doc_id").alias("a"))
@@ -322,7 +328,11 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     found = components(links)
     # the first of a piece with those that still lie in other components, then any two such
     for pairs in (stars, across):
-        links, found = joined(docs, links, found, stage(near(pairs(pieces, texts, found), texts), "near"))
+        rows = spread(pieces, texts, found)
+        some = stage(near(pairs(rows), texts), "near")
+        unstage(rows)
+        links, found = joined(docs, links, found, some)
+        unstage(some)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return texts.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("size").cast("long").alias("n_shingles"), component.alias("component_id")
@@ -378,17 +388,15 @@ def side(rows: DataFrame, name: str) -> DataFrame:
     return rows.select("key", F.col("doc_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in rows.columns if c not in ("key", "doc_id")])
 
 
-def stars(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+def stars(rows: DataFrame) -> DataFrame:
     """Each piece's first document with those of comparable size in other components."""
-    rows = spread(pieces, texts, found)
     rest = [c for c in rows.columns if c not in ("key", "doc_id")]
     first = rows.groupBy("key").agg(F.min(F.struct("doc_id", *rest)).alias("f")).select("key", "f.*")
     return side(first, "a").join(side(rows, "b"), "key").filter(COMPARABLE).select("a", "b").distinct()
 
 
-def across(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
+def across(rows: DataFrame) -> DataFrame:
     """Any two documents of a piece of comparable size and sketch in different components."""
-    rows = spread(pieces, texts, found)
     pairs = side(rows, "a").join(side(rows, "b"), "key").filter(F.expr(COMPARABLE) & F.expr("a < b"))
     return pairs.select("a", "b").distinct()
 
