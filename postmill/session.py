@@ -85,6 +85,15 @@ def discard(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(context.hadoopConfiguration()).delete(folder, True)
 
 
+def unstage(df: DataFrame) -> None:
+    """Remove the folder of a staged table that nothing reads any more, and let Spark's cleaner drop the
+    shuffle files of finished jobs, which it keeps as long as the driver remembers them."""
+    files = df.inputFiles()
+    if files:
+        discard(df.sparkSession, files[0].rsplit("/", 1)[0])
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, so that their Python workers can import it."""
     context = spark.sparkContext
