@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,13 @@ def texts_of(docs: DataFrame) -> DataFrame:
     )
 
 
+def trim() -> None:
+    """Hand memory that Python and Arrow have freed back to the system: workers outlive tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # the C library may have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch with about ``SLICE_CHARS`` of text each (one row at least)."""
     start, size = 0, 0
@@ -40,6 +49,7 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.Rec
             start, size, texts = i + 1, 0, []
     if texts:
         yield batch.slice(start), texts
+    trim()
 
 
 def map_texts(
