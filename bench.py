@@ -38,6 +38,10 @@ HEADLINE = [
     "page_cards",
     "knn_exact",
     "knn_ivf",
+    "knn_join",
+    "near_duplicate_descriptions",
+    "url_labels",
+    "provider_origin_rollup",
     "html_fallback",
     "upsert_latest",
     "upsert_table",
@@ -50,7 +54,7 @@ HEADLINE = [
     "stream_upsert",
 ]
 # the table a query reads most of, for rows per second
-READS = {"knn_exact": "embeddings", "knn_ivf": "embeddings", "crawl_state": "events", "partial_before_block": "events"}
+READS = {"knn_exact": "embeddings", "knn_ivf": "embeddings", "knn_join": "embeddings", "url_labels": "events", "crawl_state": "events", "partial_before_block": "events"}
 READS |= {"redirect_chain": "events", "stream_block_latch": "events"}
 
 
