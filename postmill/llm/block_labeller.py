@@ -6,7 +6,9 @@ reads the whole page in both directions, so a block is judged by what stands aro
 numpy throughout and is trained here, on pages drawn from a grammar of layouts whose blocks are
 labelled by construction (``training_pages`` of them, a documented bound; the same seed gives the
 same network). Pages of about the same number of blocks are labelled together, so memory depends
-on the batch, not on the table; a page of very many blocks is a batch of its own.
+on the batch, not on the table; a page of very many blocks is a batch of its own, read in stretches of
+STEP_BLOCKS of which only the scores and the last states are kept. Vectors of paths are summed along the
+tree of elements, so that deep nests cost no more than flat pages.
 
 Null html counts as empty and gives an empty text; so do pages without content. Null ``page_id`` or
 ``url`` are kept. Repeated rows are labelled one by one. Other columns are ignored.
@@ -15,6 +17,7 @@ Null html counts as empty and gives an empty text; so do pages without content.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.bpe import Cache
 from postmill.llm.common import pa_schema, slices
-from postmill.llm.html_blocks import Block, blocks
+from postmill.llm.html_blocks import Block, Element, blocks
 from postmill.llm.page_grammar import MARK, labelled_page
 
 PATHS, WORDS = 8192, 16384  # rows of the two tables of vectors
@@ -37,7 +40,8 @@ STEP_BLOCKS = 4096  # padded blocks that are labelled together
 SCHEMA = "page_id long, url string, text string, n_chars long, n_blocks long"
 
 _word_rows = Cache(lambda word: zlib.crc32(word.encode()) % WORDS, "pages")
-_path_rows = Cache(lambda path: [zlib.crc32(t.encode()) % PATHS for t in _steps(path)], "pages")
+_path_rows = Cache(lambda path: [_part_rows[t] for t in _steps(path)], "pages")
+_part_rows = Cache(lambda part: zlib.crc32(part.encode()) % PATHS, "pages")
 
 
 def _steps(path: tuple[str, ...]) -> set[str]:
@@ -45,15 +49,54 @@ def _steps(path: tuple[str, ...]) -> set[str]:
     return {*path, *map(">".join, zip(path, path[1:])), "last=" + (path[-1] if path else ""), "depth=" + str(min(len(path), 9))}  # noqa: B905
 
 
+def _places(n: int) -> np.ndarray:
+    """Where in the page each of its blocks stands, from 0 to 1."""
+    return np.linspace(0, 1, n) if n > 1 else np.zeros(n)
+
+
+def path_vectors(flat: list[Block], table: np.ndarray) -> np.ndarray:
+    """Summed vectors of every block's ``_steps``, each element worked out once: what it adds to its
+    parent are the steps that the path above it does not have."""
+    out = np.zeros((len(flat), PATH_SIZE), np.float32)
+    held: Counter[str] = Counter()  # steps on the path that is open
+    path: list[tuple[Element, list[str], np.ndarray]] = []
+    top = np.zeros(PATH_SIZE)
+    for i, b in enumerate(flat):
+        at, fresh = b.element, []
+        while at is not None and not (at.level <= len(path) and path[at.level - 1][0] is at):
+            fresh.append(at)
+            at = at.parent
+        while len(path) > (at.level if at else 0):
+            held.subtract(path.pop()[1])
+        for element in reversed(fresh):
+            parts = [element.tag, *element.names]
+            before = [path[-1][0].last, *parts] if path else parts
+            steps = parts + list(map(">".join, zip(before, before[1:])))  # noqa: B905
+            vector = path[-1][2] if path else top
+            for step in steps:
+                if not held[step]:
+                    vector = vector + table[_part_rows[step]]
+                held[step] += 1
+            path.append((element, steps, vector))
+        depth = b.element.depth if b.element else 0
+        last = b.element.last if b.element else ""
+        out[i] = (path[-1][2] if path else top) + table[_part_rows["last=" + last]] + table[_part_rows[f"depth={min(depth, 9)}"]]
+    return out
+
+
 class Inputs:
-    """Blocks of several pages, one after the other, as index and number arrays."""
+    """Blocks of several pages, one after the other, as index and number arrays.
+
+    For labelling, the vectors of their paths and their places in the page are given."""
 
-    def __init__(self, pages: list[list[Block]]):
+    def __init__(self, pages: list[list[Block]], paths: list[np.ndarray] | None = None, places: list[np.ndarray] | None = None):
         flat = [b for page in pages for b in page]
         self.lengths = np.array([len(p) for p in pages], np.intp)
-        rows = [_path_rows[b.path] for b in flat]
-        self.path_rows = np.fromiter((r for own in rows for r in own), np.intp)
-        self.path_owner = np.repeat(np.arange(len(flat)), [len(r) for r in rows])
+        self.paths = None if paths is None else np.concatenate(paths)
+        if paths is None:
+            rows = [_path_rows[b.path] for b in flat]
+            self.path_rows = np.fromiter((r for own in rows for r in own), np.intp)
+            self.path_owner = np.repeat(np.arange(len(flat)), [len(r) for r in rows])
         words = [b.text.lower().split() for b in flat]
         self.word_rows = np.fromiter(map(_word_rows.__getitem__, (w for own in words for w in own)), np.intp)
         n_words = np.array([len(w) for w in words], np.intp)
@@ -62,15 +105,17 @@ class Inputs:
         chars = np.array([len(b.text) for b in flat], float)
         linked = np.array([b.link_chars for b in flat], float)
         ends = np.array([b.text[-1] in ".!?…:" for b in flat], float)
-        place = np.concatenate([*[np.linspace(0, 1, n) if n > 1 else np.zeros(n) for n in self.lengths], np.empty(0)])
+        place = np.concatenate([*(map(_places, self.lengths) if places is None else places), np.empty(0)])
         self.plain = np.stack(
             [np.log1p(chars) / 6, linked / np.maximum(1, chars), np.log1p(n_words) / 4, ends, place, np.ones(len(flat))], axis=1
         ).reshape(len(flat), PLAIN)
 
     def vectors(self, net: dict[str, np.ndarray]) -> np.ndarray:
         n = len(self.plain)
-        path, word = np.zeros((n, PATH_SIZE)), np.zeros((n, WORD_SIZE))
-        _add(path, self.path_owner, net["path"][self.path_rows])
+        path, word = self.paths, np.zeros((n, WORD_SIZE))
+        if path is None:
+            path = np.zeros((n, PATH_SIZE))
+            _add(path, self.path_owner, net["path"][self.path_rows])
         _add(word, self.word_owner, net["word"][self.word_rows])
         return np.concatenate([path, word * self.word_share[:, None], self.plain], axis=1)
 
@@ -94,13 +139,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def _read(x: np.ndarray, mask: np.ndarray, net: dict, way: str) -> tuple[np.ndarray, list]:
-    """Hidden states of one direction; padding leaves the state as it is."""
+def _read(x: np.ndarray, mask: np.ndarray, net: dict, way: str, state: tuple | None = None, tape: list | None = None) -> tuple:
+    """Hidden states of one direction, from a state on, and the last state; padding leaves the state
+    as it is. Learning needs the tape, on which every step is written."""
     steps, pages, _ = x.shape
     w, u = net[f"w_{way}"], net[f"u_{way}"]
     ahead = x @ w + net[f"c_{way}"]
-    h, c = np.zeros((pages, HIDDEN)), np.zeros((pages, HIDDEN))
-    out, tape = np.zeros((steps, pages, HIDDEN)), []
+    h, c = state or (np.zeros((pages, HIDDEN)), np.zeros((pages, HIDDEN)))
+    out = np.zeros((steps, pages, HIDDEN))
     for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
         z = ahead[t] + h @ u
         i, f, o = (_sigmoid(z[:, k * HIDDEN : (k + 1) * HIDDEN]) for k in range(3))
@@ -109,10 +155,11 @@ def _read(x: np.ndarray, mask: np.ndarray, net: dict, way: str) -> tuple[np.ndar
         c_new = np.where(m, f * c + i * g, c)
         tanh_c = np.tanh(c_new)
         h_new = np.where(m, o * tanh_c, h)
-        tape.append((t, h, c, i, f, o, g, tanh_c, m))
+        if tape is not None:
+            tape.append((t, h, c, i, f, o, g, tanh_c, m))
         h, c = h_new, c_new
         out[t] = h
-    return out, tape
+    return out, (h, c)
 
 
 def _learn_back(d_out: np.ndarray, x: np.ndarray, tape: list, net: dict, way: str, grads: dict) -> np.ndarray:
@@ -139,8 +186,10 @@ def _learn_back(d_out: np.ndarray, x: np.ndarray, tape: list, net: dict, way: st
 
 def _scores(inputs: Inputs, net: dict) -> tuple:
     x, mask = inputs.padded(inputs.vectors(net))
-    ahead, tape_f = _read(x, mask, net, "f")
-    back, tape_b = _read(x, mask, net, "b")
+    tape_f: list = []
+    tape_b: list = []
+    ahead, _ = _read(x, mask, net, "f", tape=tape_f)
+    back, _ = _read(x, mask, net, "b", tape=tape_b)
     both = np.concatenate([ahead, back], axis=2)
     return both @ net["out"] + net["bias"], both, x, mask, tape_f, tape_b
 
@@ -202,6 +251,28 @@ def trained(training_pages: int = TRAINING_PAGES, seed: int = SEED) -> dict[str,
     return net
 
 
+def _labelling_scores(pages: list[list[Block]], net: dict[str, np.ndarray]) -> np.ndarray:
+    """(steps, pages); of a stretch only the scores and the state at its end are kept."""
+    longest = max(map(len, pages))
+    paths = [path_vectors(p, net["path"]) for p in pages]
+    places = [_places(len(p)) for p in pages]
+
+    @lru_cache(maxsize=1)
+    def stretch(start: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(start, start + STEP_BLOCKS)
+        inputs = Inputs([p[part] for p in pages], [v[part] for v in paths], [v[part] for v in places])
+        return inputs.padded(inputs.vectors(net))
+
+    starts = range(0, longest, STEP_BLOCKS)
+    score = np.zeros((longest, len(pages))) + net["bias"]
+    for way, weights in zip("fb", np.split(net["out"], 2), strict=True):
+        state = None
+        for start in starts if way == "f" else reversed(starts):
+            out, state = _read(*stretch(start), net, way, state)
+            score[start : start + len(out)] += out @ weights
+    return score
+
+
 def label(pages: list[list[Block]], net: dict[str, np.ndarray]) -> list[np.ndarray]:
     """Which blocks of each page are content."""
     out: list[np.ndarray] = [np.empty(0, bool)] * len(pages)
@@ -211,8 +282,7 @@ def label(pages: list[list[Block]], net: dict[str, np.ndarray]) -> list[np.ndarr
         some.append(i)
         following = len(pages[order[place + 1]]) if place + 1 < len(order) else STEP_BLOCKS + 1
         if following * (len(some) + 1) > STEP_BLOCKS:
-            inputs = Inputs([pages[k] for k in some])
-            score, *_, mask, _, _ = _scores(inputs, net)
+            score = _labelling_scores([pages[k] for k in some], net)
             for column, k in enumerate(some):
                 out[k] = score[: len(pages[k]), column] > 0
             some = []

@@ -1,14 +1,19 @@
 """Text blocks of an HTML page with the tags around them.
 
 A block is the text between two places where a block-level element begins or ends. Scanning is
-linear in the page, whatever its markup: every search goes on from where the last one ended, and a
-delimiter that is nowhere ahead is not looked for again.
+linear in the page, whatever its markup: every search goes on from where the last one ended, a
+delimiter that is nowhere ahead is not looked for again, open elements are counted by name, and a
+block holds a link to its innermost element instead of a copy of the path.
+
+Tags may be left out as HTML allows: a head ends where an element begins that may not stand in
+one, and drawings and formulas end where an element of text begins.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 # Elements of running text, elements without end tags, elements whose content is
@@ -35,6 +40,15 @@ ENDS_P = set(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "main menu nav ol pre section table ul".split()
 )
+# Elements that may stand in a head, and those that end an open drawing or formula.
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
+ENDS_FOREIGN = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+# Where text of HTML may stand inside a drawing or formula.
+ISLANDS = set("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+FOREIGN = {"svg", "math"}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 
 TAG_NAME = re.compile(r"/?([a-zA-Z][^\s/>]*)")
@@ -45,12 +59,37 @@ NAMES = re.compile(r"[a-z]+|[0-9]+")
 RAW_ENDS = {tag: re.compile(f"</{tag}", re.IGNORECASE | re.ASCII) for tag in RAW}
 
 
+@dataclass(frozen=True, eq=False)
+class Element:
+    """An open element and what is around it; elements of running text take no part in paths."""
+
+    parent: Element | None
+    tag: str
+    names: tuple[str, ...]  # words of class, id and role
+    level: int  # elements on the path down to here
+    depth: int  # parts of that path
+
+    @property
+    def last(self) -> str:
+        return self.names[-1] if self.names else self.tag
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]  # tags from the body down, each followed by the words of its class, id and role
+    element: Element | None  # the innermost element that is not of running text
     link_chars: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """Tags from the body down, each followed by the words of its class, id and role."""
+        parts: list[tuple[str, ...]] = []
+        at = self.element
+        while at:
+            parts.append((at.tag, *at.names))
+            at = at.parent
+        return tuple(w for part in reversed(parts) for w in part)
+
 
 class Scanner:
     """Finds the next delimiter of a page; one that is missing is searched for once."""
@@ -96,7 +135,8 @@ def blocks(page: str) -> list[Block]:
     """All blocks with text, in page order."""
     scan = Scanner(page)
     found: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, Element | None]] = []  # with the innermost element of the path there
+    opened: Counter[str] = Counter()
     hidden = links = 0
     pieces: list[str] = []
     link_chars = 0
@@ -106,8 +146,7 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                path = tuple(w for tag, names in stack if tag not in INLINE for w in (tag, *names))
-                found.append(Block(text, path, min(link_chars, len(text))))
+                found.append(Block(text, stack[-1][1] if stack else None, min(link_chars, len(text))))
             pieces.clear()
         link_chars = 0
 
@@ -117,10 +156,27 @@ def blocks(page: str) -> list[Block]:
         if any(tag not in INLINE for tag, _ in stack[place:]):
             flush()
         for tag, _ in stack[place:]:
+            opened[tag] -= 1
             hidden -= tag in HIDDEN
             links -= tag == "a"
         del stack[place:]
 
+    def last(tag: str) -> int:
+        """Place of the innermost open element of a name; one that is not open is not looked for."""
+        return next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag) if opened[tag] > 0 else -1
+
+    def make_room(tag: str) -> None:
+        """End what an element of this name may not stand in."""
+        if opened["head"] > 0 and tag not in IN_HEAD and tag != "head" and not any(opened[t] > 0 for t in ("noscript", "template")):
+            close(last("head"))
+        if tag in ENDS_FOREIGN and any(opened[t] > 0 for t in FOREIGN):
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in ISLANDS:
+                    return
+                if stack[i][0] in FOREIGN:
+                    close(i)
+                    return
+
     def say(raw: str) -> None:
         nonlocal link_chars
         if raw and not hidden:
@@ -153,13 +209,14 @@ def blocks(page: str) -> list[Block]:
         if page[start + 1] == "/":
             end = scan.find(">", m.end())
             at = size if end < 0 else end + 1
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
+            place = last(tag)
             if place >= 0:
                 close(place)
             elif tag not in INLINE:
                 flush()
             continue
         names, at = _attributes(scan, m.end())
+        make_room(tag)
         if tag == "br" or tag == "hr":
             pieces.append(" ")
         if tag not in INLINE:
@@ -189,7 +246,12 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "body":
             close(0)
-        stack.append((tag, tuple(names)))
+        around = stack[-1][1] if stack else None
+        if tag not in INLINE:
+            level, depth = (around.level, around.depth) if around else (0, 0)
+            around = Element(around, tag, tuple(names), level + 1, depth + 1 + len(names))
+        stack.append((tag, around))
+        opened[tag] += 1
         hidden += tag in HIDDEN
         links += tag == "a"
     flush()

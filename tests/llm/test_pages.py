@@ -1,11 +1,12 @@
 """Main text of pages: held-out accuracy, whole articles, broken and hostile markup."""
 
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
 
-from postmill.llm.block_labeller import extract, label, labelled, main_text, trained
+from postmill.llm.block_labeller import _path_rows, extract, label, labelled, main_text, path_vectors, trained
 from postmill.llm.html_blocks import blocks
 from postmill.llm.queries import QUERIES
 from tests.llm.conftest import SF
@@ -72,6 +73,52 @@ def test_hostile_markup_is_linear():
     assert time.time() - start < 10
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<html><head><title>T</title><p>Hello there</p>", ["Hello there"]),
+        ("<head><meta charset=utf-8><link href=x><h1>A</h1>b", ["A", "b"]),
+        ("<head><title>T</title></head><p>a", ["a"]),
+        ("<head><noscript><p>n</p></noscript><title>T</title><body><p>a", ["a"]),
+        ("<p>a</p><svg><path d=x><p>b</p><div>c</div>", ["a", "b", "c"]),
+        ("<p>a</p><math><mi>x<h2>b</h2>", ["a"]),
+        ("<p>a</p><math><mi>x</mi><h2>b</h2>", ["a", "b"]),
+        ("<p>a <svg><text>no</text></svg> b</p>", ["a", "b"]),
+        ("<svg><foreignObject><div>in</div></foreignObject></svg><p>b", ["b"]),
+    ],
+)
+def test_tags_that_may_be_left_out(page, want):
+    assert [b.text for b in blocks(page)] == want
+
+
+@pytest.mark.parametrize("page", ["<div>a" * 60_000, "<div>" * 60_000 + "a" + "</i>" * 60_000, "".join(f"<div class=z{i}>a" for i in range(20_000)), "<p>a" * 60_000])
+def test_nests_are_labelled_in_linear_time_and_space(net, page):
+    start = time.time()
+    tracemalloc.start()
+    text, n = main_text([page], net)[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == page.count(">a")
+    assert time.time() - start < 90 and peak < 300 << 20
+
+
+def test_paths_summed_along_the_tree(net):
+    random = np.random.default_rng(5)
+    for _ in range(60):
+        found, _ = labelled(random)
+        rows = [np.array(_path_rows[b.path]) for b in found]
+        want = np.array([net["path"][r].sum(axis=0) for r in rows]).reshape(len(found), -1)
+        assert np.allclose(path_vectors(found, net["path"]), want, atol=1e-5)
+
+
+def test_stretches_make_no_difference(net, monkeypatch):
+    random = np.random.default_rng(6)
+    pages = [labelled(random)[0] for _ in range(20)]
+    want = label(pages, net)
+    monkeypatch.setattr("postmill.llm.block_labeller.STEP_BLOCKS", 3)
+    assert all((a == b).all() for a, b in zip(label(pages, net), want, strict=True))
+
+
 def test_odd_rows(spark):
     rows = [(1, None, None), (2, "u", ""), (None, "u", "<p>Only a short text.</p>"), (3, "u", "<p>One story of words.</p>" * 3000)] * 2
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' AS text", "'y' AS n_chars")
