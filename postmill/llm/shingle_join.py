@@ -19,7 +19,7 @@ so a line or passage shared by very many documents joins none of them (prefix fi
 order of all pieces, two sets that share t pieces share one of what is left when each leaves
 out t - 1). Nearly all are left out before the shuffle, in an order fitted on a sample of about
 ORDER_DOCS documents (any order is exact, a good one is fast); RESERVE more are left out after it,
-by the true frequencies. Of a piece's documents each is paired with the first (a star, not all
+by the true frequencies. Pieces that the same documents keep count once. Of a piece's documents each is paired with the first (a star, not all
 pairs); the links found give components, and only documents of one piece that lie in different
 components after that are paired with each other. No link between components is lost.
 
@@ -242,6 +242,24 @@ def rarest(pieces: DataFrame) -> DataFrame:
     return kept
 
 
+def merged(pieces: DataFrame) -> DataFrame:
+    """key, doc_id and first document of the pieces that several documents keep; of pieces that the
+    same documents keep there is one.
+
+    A passage makes dozens of pieces, and two documents that share it would be paired for each of
+    them. The documents of a piece are told by sums of both halves of their ids' hashes.
+    """
+    hashed = F.xxhash64("doc_id")
+    kept = pieces.groupBy("key").agg(
+        F.min("doc_id").alias("first"),
+        F.max("doc_id").alias("last"),
+        F.sum(hashed.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
+        F.sum(F.shiftrightunsigned(hashed, 32)).alias("high"),
+    )
+    one = kept.filter("first < last").groupBy("first", "last", "low", "high").agg(F.min("key").alias("key"))
+    return lookup(pieces, one.select("key", "first"), ["key"], "inner")
+
+
 def near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and sketches allow similar sets."""
     brief = texts.select("doc_id", "size", "sketch").dropDuplicates()
@@ -318,12 +336,13 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per row of ``docs``."""
     groups = stage(grouped(dealt(docs)), "groups")
     texts = stage(groups.filter("size is not null"), "texts")
-    pieces = stage(rarest(groups.filter("size is null")), "pieces")
+    rare = stage(rarest(groups.filter("size is null")), "rare")
     unstage(groups)
+    pieces = stage(merged(rare), "pieces")
+    unstage(rare)
     equal = texts.filter("size > 0 and doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
     # one partner for each document, the first of all that share a piece with it
-    firsts = pieces.groupBy("key").agg(F.min("doc_id").alias("a"))
-    one = pieces.join(firsts, "key").groupBy(F.col("doc_id").alias("b")).agg(F.min("a").alias("a")).filter("a < b")
+    one = pieces.groupBy(F.col("doc_id").alias("b")).agg(F.min("first").alias("a")).filter("a < b")
     links = verified(docs, stage(near(one.select("a", "b"), texts), "near-one")).union(equal)
     found = components(links)
     # the first of a piece with those that still lie in other components, then any two such
@@ -353,7 +372,7 @@ def joined(docs: DataFrame, links: DataFrame, found: DataFrame, pairs: DataFrame
 def spread(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
     """key, doc_id, component, size and 512 bits of the sketch, of the pieces whose documents lie
     in several components."""
-    rows = pieces.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    rows = pieces.select("key", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     rows = rows.withColumn("component", F.coalesce("component", "doc_id"))
     several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     rows = rows.join(several.filter("low < high").select("key"), "key").join(brief(texts), "doc_id")
