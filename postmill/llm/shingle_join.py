@@ -371,12 +371,13 @@ def joined(docs: DataFrame, links: DataFrame, found: DataFrame, pairs: DataFrame
 
 def spread(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
     """key, doc_id, component, size and 512 bits of the sketch, of the pieces whose documents lie
-    in several components."""
+    in several components; ``prev`` is the document's piece before this one, the most frequent first."""
     rows = pieces.select("key", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     rows = rows.withColumn("component", F.coalesce("component", "doc_id"))
-    several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = rows.join(several.filter("low < high").select("key"), "key").join(brief(texts), "doc_id")
-    return stage(rows, "spread")
+    several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    rows = rows.join(several.filter("low < high").select("key", "n"), "key")
+    rows = rows.withColumn("prev", F.lag("key").over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "key"))).drop("n")
+    return stage(rows.join(brief(texts), "doc_id"), "spread")
 
 
 def brief(texts: DataFrame) -> DataFrame:
@@ -402,6 +403,11 @@ COMPARABLE = "component_a <> component_b AND 100L * least(size_a, size_b) >= 75L
 )
 
 
+# Pieces are in one order for all documents, so at the first piece that two documents share they have
+# different ones before it. Where they have the same, the pair is made there or earlier.
+ONCE = "prev_a IS NULL OR prev_b IS NULL OR prev_a <> prev_b"
+
+
 def side(rows: DataFrame, name: str) -> DataFrame:
     """Columns of ``spread`` for one document of a pair."""
     return rows.select("key", F.col("doc_id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in rows.columns if c not in ("key", "doc_id")])
@@ -416,7 +422,7 @@ def stars(rows: DataFrame) -> DataFrame:
 
 def across(rows: DataFrame) -> DataFrame:
     """Any two documents of a piece of comparable size and sketch in different components."""
-    pairs = side(rows, "a").join(side(rows, "b"), "key").filter(F.expr(COMPARABLE) & F.expr("a < b"))
+    pairs = side(rows, "a").join(side(rows, "b"), "key").filter(F.expr(COMPARABLE) & F.expr("a < b") & F.expr(ONCE))
     return pairs.select("a", "b").distinct()
 
 
