@@ -2,10 +2,11 @@
 
 import itertools
 import random
+import time
 
 import pytest
 
-from postmill.llm.decontaminate import MASKS, SAME, SHORTEST, WINDOW, Block, leaks, without_leaks
+from postmill.llm.decontaminate import FORGIVING, MASKS, SAME, SHORTEST, WINDOW, Block, leaks, without_leaks
 from postmill.llm.queries import QUERIES
 from tests.llm.conftest import SF
 
@@ -18,7 +19,7 @@ def leaked(text, item):
         first, last = max(0, -shift), min(len(q), len(d) - shift)
         same = [q[i] == d[i + shift] for i in range(first, last)]
         if len(q) < WINDOW:
-            if len(same) == len(q) and all(same):
+            if len(same) == len(q) and sum(same) >= len(q) - (len(q) >= 8):
                 return True
         elif any(sum(same[i : i + WINDOW]) >= SAME for i in range(len(same) - WINDOW + 1)):
             return True
@@ -32,6 +33,24 @@ def test_masks_hit_every_window_that_counts():
             assert any(all(o + p not in gone for p in mask) for mask in MASKS for o in range(WINDOW - mask[-1]))
 
 
+def test_masks_hit_short_items_with_one_word_replaced():
+    for n in range(SHORTEST, WINDOW):
+        for gone in [None, *range(n)] if n >= FORGIVING else [None]:
+            assert any(all(o + p != gone for p in mask) for mask in MASKS for o in range(n - mask[-1]))
+
+
+def test_repeated_words_are_compared_by_diagonals():
+    items = ["a " * 1000, "a b " * 300, "one of the other items here " * 20, "a a a a a"]
+    block = Block.of(list(range(4)), items)
+    start = time.time()
+    for text in ("a " * 20_000, "a b " * 8000 + "x " * 20 + "a " * 13, "a " * 7 + "one of the other items here " * 3):
+        assert {f[0] for f in block.search(text)} == {i for i, q in enumerate(items) if leaked(" ".join(text.split()[:40] + text.split()[-40:]), q)}
+    assert time.time() - start < 30
+    start = time.time()
+    assert block.search("a " * 20_000)[0] == (0, 0, 0, 1000, 1000)
+    assert time.time() - start < 2
+
+
 def planted(r, items, words):
     text = [r.choice(words) for _ in range(r.randint(0, 60))]
     for _ in range(r.randint(0, 3)):
@@ -46,7 +65,7 @@ def planted(r, items, words):
 def test_search_finds_what_brute_force_finds():
     r = random.Random(2)
     words = [f"w{i}" for i in range(40)]
-    items = [" ".join(r.choice(words) for _ in range(r.choice([0, 3, 5, 8, 12, 13, 20, 40]))) for _ in range(30)]
+    items = [" ".join(r.choice(words) for _ in range(r.choice([0, 3, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 16, 20, 40]))) for _ in range(30)]
     block = Block.of(list(range(30)), items)
     for _ in range(250):
         text = planted(r, items, words)
