@@ -54,6 +54,7 @@ OFTEN = 4  # times that a piece is in the sample to count as frequent
 SEEDS = 24  # dealings before each shingle gets a piece of its own
 FEW_IDS = 1_000_000  # rows of a few ids that may be broadcast
 SLOT = 512  # documents that are compared with one partner in one group
+BEFORE = 32  # pieces before one that may show that a pair was made already
 
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 _M = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -371,12 +372,13 @@ def joined(docs: DataFrame, links: DataFrame, found: DataFrame, pairs: DataFrame
 
 def spread(pieces: DataFrame, texts: DataFrame, found: DataFrame) -> DataFrame:
     """key, doc_id, component, size and 512 bits of the sketch, of the pieces whose documents lie
-    in several components; ``prev`` is the document's piece before this one, the most frequent first."""
+    in several components; ``before`` are the document's last pieces before this one, the most frequent first."""
     rows = pieces.select("key", "doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     rows = rows.withColumn("component", F.coalesce("component", "doc_id"))
     several = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
     rows = rows.join(several.filter("low < high").select("key", "n"), "key")
-    rows = rows.withColumn("prev", F.lag("key").over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "key"))).drop("n")
+    place = Window.partitionBy("doc_id").orderBy(F.desc("n"), "key").rowsBetween(-BEFORE, -1)
+    rows = rows.withColumn("before", F.collect_list("key").over(place)).drop("n")
     return stage(rows.join(brief(texts), "doc_id"), "spread")
 
 
@@ -403,9 +405,9 @@ COMPARABLE = "component_a <> component_b AND 100L * least(size_a, size_b) >= 75L
 )
 
 
-# Pieces are in one order for all documents, so at the first piece that two documents share they have
-# different ones before it. Where they have the same, the pair is made there or earlier.
-ONCE = "prev_a IS NULL OR prev_b IS NULL OR prev_a <> prev_b"
+# Pieces are in one order for all documents, so before the first piece that two documents share they have none in
+# common. Where they have one, the pair is made there or earlier; further back than BEFORE pieces it may be made again.
+ONCE = "NOT arrays_overlap(before_a, before_b)"
 
 
 def side(rows: DataFrame, name: str) -> DataFrame:
@@ -415,15 +417,21 @@ def side(rows: DataFrame, name: str) -> DataFrame:
 
 def stars(rows: DataFrame) -> DataFrame:
     """Each piece's first document with those of comparable size in other components."""
+    rows = rows.drop("before")
     rest = [c for c in rows.columns if c not in ("key", "doc_id")]
     first = rows.groupBy("key").agg(F.min(F.struct("doc_id", *rest)).alias("f")).select("key", "f.*")
     return side(first, "a").join(side(rows, "b"), "key").filter(COMPARABLE).select("a", "b").distinct()
 
 
+def meetings(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a piece, of comparable size and sketch and in different components; few come twice."""
+    pairs = side(rows, "a").join(side(rows, "b"), "key").filter(F.expr(COMPARABLE) & F.expr("a < b") & F.expr(ONCE))
+    return pairs.select("a", "b")
+
+
 def across(rows: DataFrame) -> DataFrame:
     """Any two documents of a piece of comparable size and sketch in different components."""
-    pairs = side(rows, "a").join(side(rows, "b"), "key").filter(F.expr(COMPARABLE) & F.expr("a < b") & F.expr(ONCE))
-    return pairs.select("a", "b").distinct()
+    return meetings(rows).distinct()
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

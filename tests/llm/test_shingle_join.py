@@ -111,6 +111,20 @@ def test_sketch_distance_is_a_lower_bound():
         assert (len(a ^ b) - join.distance(*sketches)) % 2 == 0 <= len(a ^ b) - join.distance(*sketches)
 
 
+def test_a_pair_across_components_is_made_once(spark):
+    """Documents that share some of a passage's pieces, with others between them."""
+    r = random.Random(6)
+    have = {d: {k for k in range(30) if r.random() < 0.5} for d in range(60)} | {60: set(range(200)), 61: {0, 199}, 62: set(range(5, 200, 40))}
+    pieces = spark.createDataFrame([(k, d) for d, keys in have.items() for k in keys], "key long, doc_id long")
+    texts = spark.createDataFrame([(d, 100, bytes(64)) for d in have], "doc_id long, size int, sketch binary")
+    alone = spark.createDataFrame([], "node long, component long")
+    want = {(a, b) for a in have for b in have if a < b and have[a] & have[b]}
+    rows = join.spread(pieces, texts, alone)
+    made = [tuple(p) for p in join.meetings(rows).collect()]
+    assert set(made) == want and len(made) <= 1.02 * len(want)
+    assert sorted(tuple(p) for p in join.across(rows).collect()) == sorted(want)
+
+
 def test_odd_rows(docs_of):
     text = "a text of some words that is long enough for a few shingles"
     rows = [(5, text), (5, text), (5, "another text of words"), (None, text), (7, text + " more"), (8, None), (9, ""), (9, "z"), (10, "w " * 60_000), (11, "w " * 50_000), (4, "another text OF words")]
