@@ -21,6 +21,7 @@ import random
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from postmill.functions.text import col
 from postmill.operators.components import connected
@@ -32,6 +33,7 @@ FLOOR = 75  # percent
 BANDS, ROWS = 24, 4
 SMALL = 32  # shingles of a set whose links are found by its first ones
 PREFIXED = SMALL * 100 // FLOOR  # the largest set that may be similar to a small one
+KEYS = 500_000  # rows of keys that one task aggregates
 
 _rng = random.Random(2024)
 # the first bits count up, the others are random
@@ -91,10 +93,26 @@ def crossing_pairs(keys: DataFrame, groups: DataFrame) -> DataFrame:
     """Any two classes that share a key, are of comparable size and lie in different groups."""
     rows = lookup(keys, groups.withColumnRenamed("node", "id"), ["id"]).withColumn("group", F.coalesce("group", "id"))
     rows = stage(rows, "grouped-keys")
-    several = rows.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
-    rows = stage(rows.join(several.select("key"), "key", "left_semi"), "open-keys")
-    pairs = _side(rows, "a").join(_side(rows, "b"), "key").filter(f"a < b AND group_a <> group_b AND {COMPARABLE}")
-    return pairs.select("a", "b").distinct()
+    open_keys = several_groups(rows).select("key")
+    # a pair is made at the first key that it shares: no other lies before it in both lists
+    earlier = Window.partitionBy("id", "n").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(open_keys, "key", "left_semi").withColumn("before", F.collect_list("key").over(earlier))
+    pairs = crossing_rows(stage(rows, "open-keys"))
+    return pairs.repartition("a", "b").distinct()
+
+
+def several_groups(rows: DataFrame) -> DataFrame:
+    """(key, low, high) of the keys of a staged table that lie in several groups."""
+    # most keys are there once: nothing is gained before the shuffle, and after it a task holds about KEYS of them
+    parts = rows.count() // KEYS + 1
+    dealt = rows.select("key", "group").repartition(parts, "key")
+    return dealt.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low < high")
+
+
+def crossing_rows(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of rows (key, id, n, group, before) that share a key."""
+    meet = f"a < b AND group_a <> group_b AND {COMPARABLE} AND NOT arrays_overlap(before_a, before_b)"
+    return _side(rows, "a").join(_side(rows, "b"), "key").filter(meet).select("a", "b")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:

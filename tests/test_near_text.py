@@ -10,6 +10,7 @@ from postmill.operators import near_text as NT
 from postmill.operators import patterns as PT
 from postmill.operators.components import connected
 from postmill.plans.catalog import QUERIES, Inputs
+from postmill.session import stage
 
 
 def shingles(text):
@@ -93,6 +94,35 @@ def test_copies_and_a_hot_group_make_few_pairs(spark):
     assert NT.crossing_pairs(keys, groups).count() == 0
 
 
+def test_keys_are_counted_in_tasks_of_bounded_size(spark, monkeypatch):
+    """Keys that are there once are not gathered by the task that reads them; a key in two groups is found."""
+    monkeypatch.setattr(NT, "KEYS", 1000)
+    keys = spark.range(0, 20_000, 1, 1).select(F.xxhash64(F.floor(F.col("id") / 2)).alias("key"), "id", F.lit(9).alias("n"), F.floor(F.col("id") / 4).alias("group"))
+    keys = stage(keys.withColumn("group", F.when(F.col("id") == 7, 0).otherwise(F.col("group"))), "keys")
+    found = NT.several_groups(keys)
+    assert [(r.low, r.high) for r in found.collect()] == [(0, 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("HashAggregate") < plan.rindex("Exchange") and "REPARTITION_BY_NUM" in plan
+    sizes = keys.select("key", "group").repartition(keys.count() // NT.KEYS + 1, "key").groupBy(F.spark_partition_id()).count()
+    assert sizes.agg(F.max("count")).first()[0] < 2 * NT.KEYS
+
+
+def test_a_crossing_pair_is_made_once(spark, monkeypatch):
+    rng = random.Random(4)
+    have = {i: {k for k in range(30) if rng.random() < 0.5} for i in range(40)}
+    # ids that come twice, with sets of other sizes
+    rows = [(k, i, n, i) for i, ks in have.items() for k in ks for n in (10, *([90] if i % 5 == 0 else []))]
+    made = []
+    plain = NT.crossing_rows
+    monkeypatch.setattr(NT, "crossing_rows", lambda rows: made.append(plain(rows)) or made[0])
+    keys = spark.createDataFrame([r[:3] for r in rows], "key bigint, id bigint, n int")
+    got = NT.crossing_pairs(keys, spark.createDataFrame([], "node bigint, group bigint"))
+    want = {(a, b) for a in have for b in have if a < b and have[a] & have[b]}
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    twice = sum(a % 5 == 0 and b % 5 == 0 for a, b in want)
+    assert made[0].count() == len(want) + twice
+
+
 def test_a_hot_band_is_split(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
