@@ -1,7 +1,7 @@
 """Indexed search: postings of trigrams or array elements beside the table, so that a search reads hits, not rows.
 
-An index is a Parquet table (bucket, term, id): partitioned by a hash of the term, sorted by term and id
-within each partition, and a small table of how many ids each term has. A search reads the counts of
+An index is a Parquet table (bucket, term, ids): partitioned by a hash of the term, sorted by term within
+each partition, with a list of ids for each stretch of rows, and a small table of how many ids each term has. A search reads the counts of
 its terms, takes the rarest, reads only their buckets (a partition filter, and the term's row groups), and checks
 the candidates against the rows themselves: results are exactly those of the scan.
 
@@ -11,28 +11,57 @@ are gone or have changed since are harmless, as every candidate is checked; ``wr
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postmill.functions.text import col
 from postmill.operators.filters import contains_all, contains_any, keyword_match
+from postmill.session import run_on_workers
+
+run_on_workers(__name__)
 
 GRAM = 3
+BLOCK = 1 << 20  # terms (or characters) that a task takes at once
 BUCKETS = 64
 RAREST = 3  # terms whose postings are intersected
-POSTINGS = "term string, id bigint, bucket int"
+POSTINGS = "term string, ids array<bigint>, bucket int"
 COUNTS = "term string, n bigint, bucket int"
 
 
+def _grams(texts: list[bytes | None]) -> pa.Array:
+    """Distinct trigrams of each text, as lists of strings."""
+    found = []
+    for text in texts:
+        chars = np.frombuffer((text or b"").decode(errors="replace").encode("utf-32-le"), "<u4").astype(np.int64)
+        found.append(np.unique(chars[:-2] << 42 | chars[1:-1] << 21 | chars[2:]) if len(chars) >= GRAM else chars[:0])
+    codes, which = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_inverse=True)
+    strings = pa.array(["".join(chr(c >> shift & 0x1FFFFF) for shift in (42, 21, 0)) for c in codes.tolist()], pa.string())
+    ends = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), strings.take(pa.array(which)))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _trigrams(texts: pa.Array) -> pa.Array:
+    parts, at, size = [], [], 0
+    for text in texts.cast(pa.binary()):
+        at.append(text.as_py())
+        size += len(at[-1] or b"")
+        if size >= BLOCK:
+            parts.append(_grams(at))
+            at, size = [], 0
+    return pa.concat_arrays([*parts, _grams(at)])
+
+
 def trigrams(text: Column | str) -> Column:
     """Distinct sequences of three characters, in one pass over the text."""
-    # the array of one keeps the characters from being split again for each place
-    chars = F.split(col(text), "")
-    places = F.sequence(F.lit(0), F.greatest(F.size(chars) - GRAM, F.lit(0)))
-    grams = F.transform(F.array(chars), lambda c: F.transform(places, lambda i: F.concat(*[F.coalesce(F.get(c, i + k), F.lit("")) for k in range(GRAM)])))
-    return F.when(F.char_length(col(text)) >= GRAM, F.array_distinct(F.flatten(grams))).otherwise(F.array().cast("array<string>"))
+    return _trigrams(col(text))
 
 
 def search_text(title: Column | str = "title", description: Column | str = "description") -> Column:
@@ -44,19 +73,39 @@ def bucket_of(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def _postings(rows: DataFrame, id_col: str, terms: Column, buckets: int) -> DataFrame:
-    pairs = rows.select(F.col(id_col).cast("bigint").alias("id"), F.explode(F.array_distinct(terms)).alias("term"))
-    return pairs.filter("id is not null and term is not null").withColumn("bucket", bucket_of(F.col("term"), buckets))
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of each term, from rows (id, terms): one row per term and stretch of rows."""
+    for batch in batches:
+        start = 0
+        lengths = pc.fill_null(pc.list_value_length(batch.column("terms")), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths)
+        while start < batch.num_rows:
+            begun = ends[start] - lengths[start]
+            stop = max(start + 1, int(np.searchsorted(ends, begun + BLOCK, "right")))
+            part, start = batch.slice(start, stop - start), stop
+            terms = pc.list_flatten(part.column("terms")).dictionary_encode()
+            codes = terms.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            rows = pc.list_parent_indices(part.column("terms")).to_numpy(zero_copy_only=False)
+            order = np.argsort(part.column("id").to_numpy(), kind="stable")
+            pairs = np.unique((codes << 32 | np.argsort(order)[rows])[codes >= 0])
+            codes, rows = pairs >> 32, order[pairs & 0xFFFFFFFF]
+            first = np.flatnonzero(np.diff(codes, prepend=-1))
+            ids = part.column("id").take(pa.array(rows))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(codes)), pa.int32()), ids)
+            yield pa.RecordBatch.from_arrays([terms.dictionary.take(pa.array(codes[first])), lists], names=["term", "ids"])
 
 
 def _append(rows: DataFrame, id_col: str, terms: Column, path: str, buckets: int) -> None:
-    # a term that a third of all rows have is spread by rebalancing, which splits large partitions
-    postings = _postings(rows, id_col, terms, buckets).hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "id")
-    postings.select("term", "id", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/postings")
+    # ids are gathered by term before the shuffle, so lists are sorted and written, far fewer than the postings; a term
+    # that a third of all rows have is spread by rebalancing, which splits large partitions
+    pairs = rows.select(F.col(id_col).cast("bigint").alias("id"), terms.alias("terms")).filter("id is not null")
+    lists = pairs.mapInArrow(_gathered, "term string, ids array<bigint>").withColumn("bucket", bucket_of(F.col("term"), buckets))
+    lists = lists.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", F.col("ids")[0])
+    lists.select("term", "ids", "bucket").write.mode("append").partitionBy("bucket").parquet(f"{path}/postings")
 
 
 def _count(spark: SparkSession, path: str) -> None:
-    counts = spark.read.schema(POSTINGS).parquet(f"{path}/postings").groupBy("bucket", "term").agg(F.count("*").alias("n"))
+    counts = spark.read.schema(POSTINGS).parquet(f"{path}/postings").groupBy("bucket", "term").agg(F.sum(F.size("ids").cast("bigint")).alias("n"))
     counts.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").select("term", "n", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/counts")
 
 
@@ -93,7 +142,7 @@ def _probe(spark: SparkSession, terms: list[str], buckets: int) -> Column:
 def postings_of(spark: SparkSession, path: str, terms: list[str]) -> DataFrame:
     """(term, id) of some terms; only their buckets are read."""
     buckets = spark.read.parquet(f"{path}/layout").first()[0]
-    return spark.read.schema(POSTINGS).parquet(f"{path}/postings").filter(_probe(spark, terms, buckets)).select("term", "id").distinct()
+    return spark.read.schema(POSTINGS).parquet(f"{path}/postings").filter(_probe(spark, terms, buckets)).select("term", F.explode("ids").alias("id")).distinct()
 
 
 def ids_with_all(spark: SparkSession, path: str, terms: list[str], most: int | None = RAREST) -> DataFrame:

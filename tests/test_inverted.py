@@ -72,3 +72,24 @@ def test_arrays(spark):
     empty = work_dir(spark, "elements")
     IX.write_index(df.limit(0), "id", IX.elements("skills"), empty, 4)
     assert IX.rows_with(df.limit(0), "id", "skills", empty, "a").count() == 0
+
+
+def test_postings_are_gathered_before_the_shuffle(spark):
+    """Texts of the same terms make a row per term and task, not one per text; repeats and nulls count once or not at all."""
+    rows = spark.range(0, 4000, 1, 2).select("id", F.lit("some words of a text").alias("text"))
+    path = work_dir(spark, "lists")
+    IX.write_index(rows, "id", IX.trigrams("text"), path, 4)
+    lists = spark.read.schema(IX.POSTINGS).parquet(f"{path}/postings")
+    assert lists.count() <= 2 * 18 and lists.agg(F.sum(F.size("ids"))).first()[0] == 18 * 4000
+    assert {r.n for r in spark.read.schema(IX.COUNTS).parquet(f"{path}/counts").collect()} == {4000}
+    odd = spark.createDataFrame([(9, ["b", "a", "b", None]), (3, ["b"]), (3, ["b"]), (None, ["b"]), (4, None), (5, [])], "id bigint, terms array<string>")
+    path = work_dir(spark, "lists")
+    IX.write_index(odd, "id", IX.elements("terms"), path, 4)
+    assert sorted(map(tuple, IX.postings_of(spark, path, ["a", "b"]).collect())) == [("a", 9), ("b", 3), ("b", 9)]
+
+
+def test_grams_of_any_text(spark):
+    texts = [None, "", "ab", "abc", "aaaa", "ünï𝒳y\n\x00z", "x" * 5, "abcabc"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, text string")
+    got = {r.id: sorted(r.g) for r in rows.select("id", IX.trigrams("text").alias("g")).collect()}
+    assert got == {i: sorted({t[k : k + 3] for k in range(len(t) - 2)} if t else []) for i, t in enumerate(texts)}
