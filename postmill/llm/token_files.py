@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from postmill.llm.bpe import Cache, encoder
-from postmill.llm.common import pa_schema, slices, texts_of
+from postmill.llm.common import pa_schema, texts_of, trim
 from postmill.llm.simple8b import read_block, write_block
 from postmill.session import work_dir
 
@@ -48,18 +48,18 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str) -> None:
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, types, strict=True)], schema=types)
 
         for batch in batches:
-            for part, texts in slices(batch):
-                found = encoder(vocabulary).encode(texts)
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), found, strict=True):
-                    if not shard:
-                        shard = f"from-{doc_id}"  # ranges do not overlap, so this names the range
-                    held_docs.append(doc_id)
-                    held.append(np.append(ids, np.array([END_ID], "<u4")))
-                    size += len(ids) + 1
-                    if size >= BLOCK_IDS:
-                        yield close()
-                        number, position = number + 1, position + size
-                        held_docs, held, size = [], [], 0
+            found = encoder(vocabulary).encode(batch.column("text"))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
+                if not shard:
+                    shard = f"from-{doc_id}"  # ranges do not overlap, so this names the range
+                held_docs.append(doc_id)
+                held.append(np.append(ids, np.array([END_ID], "<u4")))
+                size += len(ids) + 1
+                if size >= BLOCK_IDS:
+                    yield close()
+                    number, position = number + 1, position + size
+                    held_docs, held, size = [], [], 0
+            trim()
         if held:
             yield close()
 

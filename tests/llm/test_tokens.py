@@ -2,16 +2,18 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from postmill.llm import simple8b
+from postmill.llm import bpe, simple8b
 from postmill.llm.bpe import Encoder, PrefixTable
 from postmill.llm.queries import QUERIES
 from postmill.llm.token_counts import count_tokens, counts_at, fitting, token_table
@@ -45,6 +47,56 @@ def test_encoder_gives_the_library_ids(library):
         assert got.tolist() == ids(library, text), repr(text)
 
 
+class Counting:
+    """The library, with a count of what its model is asked for."""
+
+    def __init__(self, library):
+        self.library, self.asked = library, Counter()
+
+    def __getattr__(self, name):
+        return getattr(self.library, name)
+
+    @property
+    def model(self):
+        return self
+
+    def tokenize(self, shown):
+        self.asked[shown] += 1
+        return self.library.model.tokenize(shown)
+
+
+def test_each_distinct_word_is_encoded_once(library):
+    encoder = Encoder(PATH)
+    encoder.library = Counting(library)
+    long, texts = "ab" * 40, []  # longer than what is remembered from one stretch to the next
+    for i in range(30):
+        texts.append(f"Start {long} and {long}, {long}.\n{long} {'again ' * i}end")
+    for text, got in zip(texts, encoder.encode(texts), strict=True):
+        assert got.tolist() == ids(library, text)
+    assert encoder.library.asked["Ġ" + long] == encoder.library.asked["Ġagain"] == 1
+
+
+ODD = [
+    *["\u1680", "\u2009", "\u2028", "\u202f", "\u205f", "\u180e", "\u200b", "\x00", "\r\n", "’", "—", "…", "×", "Â", "ª", "_"],
+    *["'s,", "s'.", "it's", "'", "a.b", "(a)", "1,000.5", "a\n'll", "x.\n\ny", "é.", "日本。", "\x7f", "<|endoftext|>", "ǅ", "ɏ", "ɐ", "word"],
+]
+
+
+def test_cuts_of_odd_texts_in_small_stretches(library, monkeypatch):
+    monkeypatch.setattr(bpe, "BYTES_TOGETHER", 500)
+    monkeypatch.setattr(bpe, "BYTES_AT_ONCE", 60)
+    monkeypatch.setattr(bpe, "KEPT", 40)
+    r = random.Random(5)
+    texts = ["".join(r.choice(ODD + PARTS + [" "] * 9 + ["\n"] * 4) for _ in range(r.randint(0, 14))) for _ in range(4000)]
+    encoder = Encoder(PATH)
+    expected_ids = [ids(library, text) for text in texts]
+    assert [got.tolist() for got in encoder.encode(texts)] == expected_ids
+    column = pa.array(["cut off", *texts]).slice(1)  # as Spark hands them over: Arrow, not from its first row
+    assert [got.tolist() for got in encoder.encode(column)] == expected_ids
+    assert list(encoder.encode([])) == [] and [got.tolist() for got in encoder.encode(["", ""])] == [[], []]
+    assert max(len(encoder.seen), len(encoder.past)) < 400
+
+
 def test_prefix_table_counts_every_prefix(library):
     texts = hard_texts(500)
     for text, steps in zip(texts, PrefixTable(PATH).steps(texts), strict=True):
