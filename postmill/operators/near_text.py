@@ -7,8 +7,11 @@ links make groups.
 Everything is built-in expressions. Equal sets are one class from the start, so exact copies cost one
 row. A class of more than SMALL shingles gets BANDS keys of ROWS minima each; the minimum under
 ``x XOR c`` is taken for constants c that differ in their first bits, so a shingle is hashed once.
-A link at the floor is found with 1 - (1 - 0.75^4)^24 = 0.9999. Small sets get their first shingles
-in the order of the hashes instead, which finds every link among them (prefix filter).
+A link at the floor is found with 1 - (1 - 0.75^4)^24 = 0.9999. Small sets get their rarest shingles
+instead, which finds every link among them (prefix filter).
+
+Disk. The hashes are larger than the texts. They are made where a text is read and only the keys and two hashes
+of the whole set are kept; for rows that are in a pair they are made again. What is read no more is dropped.
 
 Hot keys. A class meets the first class of each of its keys (a star), not every other; only
 classes that share a key and still lie in different groups after that are compared with each other, sizes
@@ -18,6 +21,7 @@ first, inside a join of two plain inputs that AQE splits. Candidates are compare
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,14 +30,15 @@ from pyspark.sql.window import Window
 from postmill.functions.text import col
 from postmill.operators.components import connected
 from postmill.operators.joins import lookup
-from postmill.session import stage
+from postmill.session import stage, unstage
 
 SHINGLE = 5
 FLOOR = 75  # percent
 BANDS, ROWS = 24, 4
-SMALL = 32  # shingles of a set whose links are found by its first ones
+SMALL = 96  # shingles of a set whose links are found by its rarest ones: a common phrase may fill a band of it, and all texts with that phrase would meet
 PREFIXED = SMALL * 100 // FLOOR  # the largest set that may be similar to a small one
 KEYS = 500_000  # rows of keys that one task aggregates
+PER_SET = 4  # pairs for each set that are compared in one round
 
 _rng = random.Random(2024)
 # the first bits count up, the others are random
@@ -51,7 +56,7 @@ def shingle_hashes(words: Column) -> Column:
     n = F.size(words)
     none = F.array().cast("array<bigint>")
     every = F.transform(F.sequence(F.lit(1), F.greatest(n - SHINGLE + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, SHINGLE)))
-    return F.when(n == 0, none).otherwise(F.array_sort(F.array_distinct(every)))
+    return F.when(n == 0, none).otherwise(F.sort_array(F.array_distinct(every)))
 
 
 def text_sets(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -63,16 +68,38 @@ def text_sets(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return sets.select("id", F.size("hashes").alias("n"), whole[0].alias("one"), whole[1].alias("two"), "hashes")
 
 
-def band_keys(sets: DataFrame) -> DataFrame:
-    """(key, id, n) of sets (id, n, hashes): the values on which candidates are joined."""
-    needed = F.col("n") - F.ceil(F.col("n") * FLOOR / 100).cast("int") + 1
-    small = sets.filter(F.col("n") <= PREFIXED)
-    small = small.select(F.explode(F.slice("hashes", 1, needed)).alias("key"), "id", "n")
-    large = sets.filter(F.col("n") > SMALL).select("id", "n", F.explode("hashes").alias("h"))
+def key_lists(sets: DataFrame) -> DataFrame:
+    """id, n, one, two, small (hashes of a small set), bands (keys of another one) and times (equal rows) of sets.
+
+    The hashes of large sets go no further than the task that reads them; of each set one row of minima is shuffled.
+    """
+    small = F.when(F.col("n") <= PREFIXED, F.col("hashes")).alias("small")
+    each = sets.select("id", "n", "one", "two", small, F.explode_outer("hashes").alias("h"))
     minima = [F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(MASKS)]
-    large = large.groupBy("id", "n").agg(*minima)
-    bands = [F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
-    return small.union(large.select(F.explode(F.array(*bands)).alias("key"), "id", "n"))
+    times = (F.count("*") / F.greatest("n", F.lit(1))).cast("int").alias("times")
+    rows = each.groupBy("id", "n", "one", "two", "small").agg(times, *minima)
+    bands = F.array(*[F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
+    return rows.select("id", "n", "one", "two", "small", F.when(F.col("n") > SMALL, bands).alias("bands"), "times")
+
+
+def first_keys(small: DataFrame) -> DataFrame:
+    """(key, id, n): so many of the rarest shingles of small sets that similar sets share one of them."""
+    each = small.select("id", "n", "one", F.explode("small").alias("key"))
+    # any order finds all; by the hash alone a common shingle would join all texts that have it
+    often = each.groupBy("key").agg(F.count("*").alias("often"))
+    ordered = lookup(each, often, ["key"]).groupBy("id", "n", "one").agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("keys"))
+    needed = F.col("n") - F.ceil(F.col("n") * FLOOR / 100).cast("int") + 1
+    return ordered.select(F.explode(F.slice("keys.key", 1, needed)).alias("key"), "id", "n")
+
+
+def keys_of(listed: DataFrame) -> DataFrame:
+    bands = listed.filter(F.col("n") > SMALL).select(F.explode("bands").alias("key"), "id", "n")
+    return bands.union(first_keys(listed.filter(F.col("n") <= PREFIXED)))
+
+
+def band_keys(sets: DataFrame) -> DataFrame:
+    """(key, id, n) of sets: the values on which candidates are joined."""
+    return keys_of(key_lists(sets))
 
 
 COMPARABLE = f"100L * least(n_a, n_b) >= {FLOOR}L * greatest(n_a, n_b)"
@@ -92,13 +119,14 @@ def star_pairs(keys: DataFrame) -> DataFrame:
 def crossing_pairs(keys: DataFrame, groups: DataFrame) -> DataFrame:
     """Any two classes that share a key, are of comparable size and lie in different groups."""
     rows = lookup(keys, groups.withColumnRenamed("node", "id"), ["id"]).withColumn("group", F.coalesce("group", "id"))
-    rows = stage(rows, "grouped-keys")
-    open_keys = several_groups(rows).select("key")
+    grouped = stage(rows, "grouped-keys")
+    open_keys = several_groups(grouped).select("key")
     # a pair is made at the first key that it shares: no other lies before it in both lists
     earlier = Window.partitionBy("id", "n").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(open_keys, "key", "left_semi").withColumn("before", F.collect_list("key").over(earlier))
-    pairs = crossing_rows(stage(rows, "open-keys"))
-    return pairs.repartition("a", "b").distinct()
+    rows = grouped.join(open_keys, "key", "left_semi").withColumn("before", F.collect_list("key").over(earlier))
+    opened = stage(rows, "open-keys")
+    unstage(grouped)
+    return crossing_rows(opened).repartition("a", "b").distinct()
 
 
 def several_groups(rows: DataFrame) -> DataFrame:
@@ -124,24 +152,46 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.filter(100 * both >= FLOOR * (F.col("n_a") + F.col("n_b") - both)).select("a", "b")
 
 
+def links_among(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The staged pairs (a, b) that are links. Only the sets of rows in a pair are made again and kept meanwhile."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = stage(text_sets(texts.join(ids, "id", "left_semi"), "id", "text").select("id", "n", "hashes"), "pair-sets")
+    # a pair carries a set through a shuffle; the files of what was shuffled before are dropped first
+    rounds = pairs.count() // (PER_SET * max(1, sets.count())) + 1
+    found = []
+    for i in range(rounds):
+        sets.sparkSession.sparkContext._jvm.System.gc()
+        dealt = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == i)
+        found.append(stage(linked(dealt, sets), "links"))
+    links = reduce(DataFrame.union, found)
+    unstage(sets)
+    unstage(pairs)
+    return links
+
+
 def near_duplicate_texts(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, n_shingles, group_id): the smallest id that links reach; itself for a text without words.
 
     ``id_col`` is unique and never null.
     """
-    sets = stage(text_sets(rows, id_col, text_col), "sets")
-    members = sets.filter("n > 0").groupBy("n", "one", "two").agg(F.min("id").alias("class"))
-    of_class = lookup(sets.select("id", "n", "one", "two"), members, ["n", "one", "two"])
-    of_class = stage(of_class.select("id", "n", F.coalesce("class", "id").alias("class")), "classes")
-    classes = stage(sets.join(members.select(F.col("class").alias("id")), "id", "left_semi").select("id", "n", "hashes"), "class-sets")
-    keys = stage(band_keys(classes), "keys")
-    links = stage(linked(stage(star_pairs(keys), "stars"), classes), "links")
+    texts = rows.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    listed = stage(key_lists(text_sets(texts, "id", "text")), "key-lists")
+    members = listed.filter("n > 0").groupBy("n", "one", "two").agg(F.min("id").alias("class"))
+    of_class = lookup(listed.select("id", "n", "one", "two", "times"), members, ["n", "one", "two"])
+    of_class = stage(of_class.select("id", "n", F.coalesce("class", "id").alias("class"), "times"), "classes")
+    classes = stage(listed.drop("two", "times").join(members.select(F.col("class").alias("id")), "id", "left_semi"), "class-lists")
+    unstage(listed)
+    keys = stage(keys_of(classes), "keys")
+    unstage(classes)
+    links = links_among(stage(star_pairs(keys), "stars"), texts)
     groups = connected(links)
-    more = stage(linked(stage(crossing_pairs(keys, groups), "crossing"), classes), "links")
+    more = links_among(stage(crossing_pairs(keys, groups), "crossing"), texts)
+    unstage(keys)
     if not more.isEmpty():
         groups = connected(links.union(more))
     found = lookup(of_class, groups.withColumnRenamed("node", "class"), ["class"])
-    return found.select("id", F.col("n").cast("bigint").alias("n_shingles"), F.coalesce("group", "class").alias("group_id"))
+    found = found.select("id", "n", F.coalesce("group", "class").alias("group_id"), F.explode(F.expr("sequence(1, times)")))
+    return found.select("id", F.col("n").cast("bigint").alias("n_shingles"), "group_id")
 
 
 def near_duplicate_descriptions(postings: DataFrame) -> DataFrame:

@@ -123,6 +123,46 @@ def test_a_crossing_pair_is_made_once(spark, monkeypatch):
     assert made[0].count() == len(want) + twice
 
 
+def test_only_sets_of_rows_in_a_pair_are_kept(spark, monkeypatch):
+    rows = [(i, " ".join(f"{i}x{j}" for j in range(120))) for i in range(200)]
+    rows += [(200 + i, rows[i][1].rsplit(" ", 2)[0]) for i in range(5)] + [(205, rows[9][1]), (205, rows[9][1])]
+    kept = []
+
+    def noted(df, purpose):
+        out = stage(df, purpose)
+        if "hashes" in out.columns:
+            kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(NT, "stage", noted)
+    got = NT.near_duplicate_texts(spark.createDataFrame(rows, "id bigint, text string"), "id", "text").collect()
+    assert sum(kept) == 10
+    assert sorted((r.id, r.group_id) for r in got) == sorted([(i, i) for i in range(200)] + [(200 + i, i) for i in range(5)] + [(205, 9)] * 2)
+
+
+def test_pairs_are_compared_in_rounds_of_bounded_size(spark, monkeypatch):
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(100)]
+    rows = [(i, " ".join(w if rng.random() > 0.02 else f"{i}x{j}" for j, w in enumerate(base))) for i in range(40)]
+    pairs = stage(spark.createDataFrame([(a, b) for a in range(40) for b in range(a + 1, 40)], "a bigint, b bigint"), "pairs")
+    texts = spark.createDataFrame(rows, "id bigint, text string")
+    sizes = []
+    plain = NT.linked
+    monkeypatch.setattr(NT, "linked", lambda some, sets: sizes.append(some.count()) or plain(some, sets))
+    sets = {i: shingles(t) for i, t in rows}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert {tuple(r) for r in NT.links_among(pairs, texts).collect()} == want and want
+    assert sum(sizes) == 780 and len(sizes) == 5 and max(sizes) < 2 * NT.PER_SET * 40
+
+
+@pytest.mark.parametrize("own", [20, 40, 70])
+def test_a_common_phrase_makes_few_pairs(spark, own):
+    phrase = "five or more years of work and a degree of any kind are asked for here "
+    rows = [(i, phrase + " ".join(f"{i}x{j}" for j in range(own))) for i in range(300)]
+    keys = stage(NT.band_keys(NT.text_sets(spark.createDataFrame(rows, "id bigint, text string"), "id", "text")), "keys")
+    assert NT.crossing_pairs(keys, spark.createDataFrame([], "node bigint, group bigint")).count() < 300
+
+
 def test_a_hot_band_is_split(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
